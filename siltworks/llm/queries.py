@@ -7,10 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import capping, encoding, pairs, terms
+from siltworks.llm import capping, encoding, neardup, pairs, terms
 from siltworks.session import table
 
 
+def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.groups(table(spark, sf_dir, "smoke_test"))
+
+
+def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.group_pairs(p1_groups(spark, sf_dir))
+
+
 def p2_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p2_tags(spark, sf_dir).where("mark is not null").select("field", "tag", "mark")
 
@@ -45,7 +53,7 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids)
 }
 
 _LATEST = """one as (select row_id, labels from (select *, row_number() over (partition by coalesce('i' || id, 'r' || row_id)

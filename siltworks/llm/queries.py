@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import capping, encoding, neardup, pairs, terms
+from siltworks.llm import capping, charsets, encoding, neardup, pairs, terms
 from siltworks.session import table
 
 
@@ -52,8 +52,16 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return charsets.wrong_encoding(table(spark, sf_dir, "documents"))
+
+
+def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p9_restored(spark, sf_dir).select("doc_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids, p9_found, p9_restored)
 }
 
 _LATEST = """one as (select row_id, labels from (select *, row_number() over (partition by coalesce('i' || id, 'r' || row_id)

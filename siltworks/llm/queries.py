@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import capping, charsets, encoding, neardup, pairs, terms
+from siltworks.llm import capping, charsets, encoding, leakage, neardup, pairs, terms
 from siltworks.session import table
 
 
@@ -52,6 +52,14 @@ def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoding.encode_corpus(table(spark, sf_dir, "documents"))
 
 
+def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+
+
+def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return p8_leaks(spark, sf_dir).select("doc_id", "item_id")
+
+
 def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return charsets.wrong_encoding(table(spark, sf_dir, "documents"))
 
@@ -61,7 +69,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids, p9_found, p9_restored)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p6_found, p6_kept, p7_ids, p8_found, p8_leaks, p9_found, p9_restored)
 }
 
 _LATEST = """one as (select row_id, labels from (select *, row_number() over (partition by coalesce('i' || id, 'r' || row_id)

@@ -56,7 +56,6 @@ def to_bytes(s: str, codec: str) -> bytes | None:
     return bytes(out)
 
 
-@lru_cache(100_000)
 def undo(s: str, wrong: str, right: str) -> str | None:
     """``s`` as it was before bytes of ``right`` were read as ``wrong``; None if it can't have been so."""
     b = to_bytes(s, wrong)
@@ -140,12 +139,15 @@ def _votes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 class Mender:
     """Finds and undoes wrong decodings in a text, with learned decodings and the corpus's character statistics."""
 
-    def __init__(self, learned: list[tuple[str, str]], chars: dict[str, int], duos: dict[str, int]) -> None:
+    def __init__(self, learned: list[tuple[str, str]], chars: dict[str, int], duos: dict[str, int], leads: frozenset[str] = frozenset()) -> None:
         self.learned, self.chars, self.duos = learned, chars, duos
         extra = [p for p in UNWITNESSED if p not in learned]
         self.wide, self.narrow = [p for p in learned if p[0] in WIDE], [p for p in learned if p[0] not in WIDE]
         self.extra_wide, self.extra_narrow = [p for p in extra if p[0] in WIDE], [p for p in extra if p[0] not in WIDE]
-        self.memo: dict[tuple[str, bool], str | None] = {}
+        self.leads = leads
+        table = [(w, "".join(re.escape(bytes([x]).decode(w, "ignore") or chr(x)) for x in range(0xC2, 0xF5)), "".join(re.escape(bytes([x]).decode(w, "ignore") or chr(x)) for x in range(0x80, 0xC0))) for w, r in learned if r == "utf-8" and w not in WIDE]
+        self.sequence = re.compile("|".join(f"[{a}][{b}]" for _, a, b in table) or "(?!)")
+        self.memo: dict[tuple[str, bool], tuple[str | None, bool]] = {}
         self.total = sum(chars.values()) or 1
 
     def score(self, s: str) -> float:
@@ -157,19 +159,23 @@ class Mender:
         """All characters are in use in the corpus and none is a control, private or unassigned one."""
         return all(c.isascii() or (self.chars.get(c, 0) >= 2 and (c.isprintable() or c in "\xa0 \xad​‍ ")) for c in s)
 
-    def run(self, r: str, inside: bool) -> str | None:
-        """The text that the run ``r`` was, or None. ``inside``: it touches an ASCII letter."""
+    def run(self, r: str, inside: bool) -> tuple[str | None, bool]:
+        """The text that the run ``r`` was, or None, and whether losses stay. ``inside``: it touches an ASCII letter."""
         key = (r, inside)
         if key not in self.memo:
             if len(self.memo) > 200_000:
                 self.memo.clear()
-            self.memo[key] = self._run(r, inside)
+            got, rest = self._run(r, inside), False
+            if got is None and len(r) > 1 and (LOST in r or (max(r) <= "\u2fff" and self.sequence.search(r))):
+                got, rest = self.parts(r)
+            self.memo[key] = got, rest
         return self.memo[key]
 
     def _run(self, r: str, inside: bool, depth: int = 0) -> str | None:
         wide = max(r) > "\u2fff" and not max(r) == LOST
-        best, at = None, self.score(r)
-        for w, right in self.wide if wide else self.narrow:
+        best, high, at = None, 0.0, None
+        witnessed = self.wide if wide else self.narrow if self.sequence.search(r) else ()
+        for w, right in witnessed:
             got = undo(r, w, right)
             if got is None:
                 continue
@@ -177,19 +183,24 @@ class Mender:
             got = again or got
             if not self.known(got) or (got.isascii() and len(r) < 2):
                 continue
+            at = self.score(r) if at is None else at
+            own = self.score(got)
             if right == "utf-8" and wide:
-                ok = (inside or len(r) > 1) and (self.score(got) > at or (inside and len(got) <= 3))
+                ok = (inside or len(r) > 1) and (own > at or (inside and len(got) <= 3))
             elif right == "utf-8":
                 ok = len(r) > len(got)
             else:
-                ok = self.score(got) > at + 2 and (len(r) > 3 or (inside and len(r) <= 2))
-            if ok and (best is None or self.score(got) > self.score(best)):
-                best = got
+                ok = own > at + 2 and (len(r) > 3 or (inside and len(r) <= 2))
+            if ok and (best is None or own > high):
+                best, high = got, own
         if best is None and len(r) >= 4 and depth == 0:
             for w, right in self.extra_wide if wide else self.extra_narrow:
                 got = undo(r, w, right)
-                if got and not got.isascii() and self.known(got) and self.score(got) > max(at + 1.5, 3) and self.uniform(got) and (best is None or self.score(got) > self.score(best)):
-                    best = got
+                if got and not got.isascii() and self.known(got):
+                    at = self.score(r) if at is None else at
+                    own = self.score(got)
+                    if own > max(at + 1.5, 3) and own > high and self.uniform(got):
+                        best, high = got, own
         return best
 
     @staticmethod
@@ -207,13 +218,10 @@ class Mender:
         for m in RUN.finditer(t):
             a, b, r = m.start(), m.end(), m.group()
             inside = (a > 0 and t[a - 1] in _LETTER) or (b < len(t) and t[b] in _LETTER)
-            got = self.run(r, inside)
-            rest = None
-            if got is None and len(r) > 1 and (LOST in r or max(r) <= "\u2fff"):
-                got, rest = self.parts(r)
+            got, rest = self.run(r, inside)
             lost = LOST in r or any("\x80" <= c <= "\x9f" for c in r)
             if got is None and not lost:
-                if inside:
+                if inside and not self.leads.isdisjoint(r):
                     left.append(self.word_at(t, a, b))
                 continue
             if not inside and len(r) <= 4 and self.mentioned(t, a, b):
@@ -312,9 +320,12 @@ def wrong_encoding(df: DataFrame) -> DataFrame:
     """
     docs = df.select("doc_id", "text")
     learned, chars, duos, twins = learn(docs)
+    known = cut(twins.select("word", "clean").mapInPandas(_explained(learned), "word string, clean string"))
+    spelt = known.select(F.explode(F.array_distinct(F.split(F.regexp_replace("word", r"[\x00-\x7F]", ""), ""))).alias("c")).distinct().collect()  # characters, so bounded
+    leads = frozenset(r.c for r in spelt)
 
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = Mender(learned, chars, duos)
+        m = Mender(learned, chars, duos, leads)
         for b in batches:
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
@@ -326,7 +337,6 @@ def wrong_encoding(df: DataFrame) -> DataFrame:
 
     seen = docs.where(F.col("text").rlike(r"[^\x00-\x7F]")).mapInArrow(mend, "doc_id long, bad boolean, text string, words array<string>")
     seen = written(seen.withColumn("rid", F.monotonically_increasing_id()), "mended")
-    known = cut(twins.select("word", "clean").mapInPandas(_explained(learned), "word string, clean string"))
     hits = seen.select("rid", F.explode(F.array_distinct("words")).alias("word")).join(known, "word").groupBy("rid").agg(F.collect_list(F.struct("word", "clean")).alias("fix"))
     lost = seen.where("not bad").join(hits, "rid", "left_semi").select("doc_id", "rid").join(docs, "doc_id").select("rid", F.col("text").alias("raw"))
     out = seen.join(hits, "rid", "left").join(lost, "rid", "left").where("bad or fix is not null").withColumn("text", F.coalesce("text", "raw"))

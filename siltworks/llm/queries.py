@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import capping, charsets, encoding, leakage, neardup, pairs, terms, truncation
+from siltworks.llm import capping, charsets, encoding, leakage, neardup, pairs, replies, terms, truncation
 from siltworks.session import table
 
 
@@ -39,6 +39,10 @@ def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_pairs(spark, sf_dir).select("item_a", "item_b", "n", "n_a", "n_b", "n_ab")
 
 
+def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return replies.defects(table(spark, sf_dir, "smoke_test"))
+
+
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return truncation.cut_turns(table(spark, sf_dir, "smoke_test"))
 
@@ -77,7 +81,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p5_found, p5_sources, p6_found, p6_kept, p7_ids, p8_found, p8_leaks, p9_found, p9_restored)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p4_found, p5_found, p5_sources, p6_found, p6_kept, p7_ids, p8_found, p8_leaks, p9_found, p9_restored)
 }
 
 _LATEST = """one as (select row_id, labels from (select *, row_number() over (partition by coalesce('i' || id, 'r' || row_id)

@@ -1,4 +1,4 @@
-"""All queries of the core and their SQL."""
+"""All queries of the core and their SQL. A plan module registers its queries with :func:`query`."""
 
 from __future__ import annotations
 
@@ -8,3 +8,15 @@ from pyspark.sql import DataFrame, SparkSession
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    """Register a (spark, sf_dir) function under its name, with the SQL that DuckDB runs on the same tables."""
+
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = sql
+        return f
+
+    return add

@@ -89,13 +89,13 @@ def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
 
 
-def neighbours(vectors: DataFrame, hashes: DataFrame, key: str, radius: int = CLUSTER["radius"], cosine: float = CLUSTER["cosine"], top_k: int = CLUSTER["top_k"], n_bands: int = CLUSTER["bands"], hot: int = 1000) -> DataFrame:
+def neighbours(vectors: DataFrame, hashes: DataFrame, key: str, radius: int = CLUSTER["radius"], cosine: float = CLUSTER["cosine"], top_k: int = CLUSTER["top_k"], n_bands: int = CLUSTER["bands"], bits: int = CLUSTER["bits"], hot: int = 1000) -> DataFrame:
     """``(a, b, similarity)``: of each node its ``top_k`` most similar others within the radius, ties to the larger key; plus
     a link of similarity 1 from each copy to its group's smallest key."""
     groups = hashes.groupBy("hash").agg(F.min(key).alias("rep"))
     copies = hashes.join(groups, "hash").where(F.col(key) != F.col("rep")).select(F.col(key).alias("a"), F.col("rep").alias("b"), F.lit(1.0).alias("similarity"))
     nodes = cut(groups.select(F.col("rep").alias("k"), "hash"))
-    posts = nodes.select("k", F.posexplode(bands(F.col("hash"), n=n_bands)).alias("i", "v"))
+    posts = nodes.select("k", F.posexplode(bands(F.col("hash"), bits, n_bands)).alias("i", "v"))
     sizes = posts.groupBy("i", "v").agg(F.count("*").alias("c")).where("c > 1")
     live = posts.join(sizes, ["i", "v"])
     short = live.where(F.col("c") <= hot).select("k", F.xxhash64("i", "v").alias("key"))
@@ -105,7 +105,7 @@ def neighbours(vectors: DataFrame, hashes: DataFrame, key: str, radius: int = CL
     keyed = short.union(split)
     pairs = keyed.select(F.col("k").alias("a"), "key").join(keyed.select(F.col("k").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
     h = nodes.select("k", "hash")
-    near = pairs.join(h.select(F.col("k").alias("a"), F.col("hash").alias("ha")), "a").join(h.select(F.col("k").alias("b"), F.col("hash").alias("hb")), "b").where(hamming(F.col("ha"), F.col("hb")) <= radius).select("a", "b")
+    near = pairs.join(h.select(F.col("k").alias("a"), F.col("hash").alias("ha")), "a").join(h.select(F.col("k").alias("b"), F.col("hash").alias("hb")), "b").where(hamming(F.col("ha"), F.col("hb"), bits // 64) <= radius).select("a", "b")
     v = vectors.select(F.col(key).alias("k"), F.col("embedding").alias("e"))
     sim = near.join(v.select(F.col("k").alias("a"), F.col("e").alias("ea")), "a").join(v.select(F.col("k").alias("b"), F.col("e").alias("eb")), "b").select("a", "b", dot(F.col("ea"), F.col("eb")).alias("similarity")).where(F.col("similarity") >= cosine)
     both = sim.union(sim.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))

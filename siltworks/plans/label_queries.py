@@ -232,7 +232,15 @@ def _lacks(d: str, tags: str) -> str:
 
 _BUILD = "feature-implementation configuration schema-design deployment api-design testing-task documentation logging monitoring"
 _MODIFY = "code-refactoring code-optimization migration code-translation feature-implementation bug-fixing error-handling-task configuration documentation testing-task schema-design dependency-management"
-_I, _F, _C = "coalesce(labels.intent, '')", "coalesce(labels.difficulty, '')", "coalesce(labels.context, '')"
+#: The tables' own words for the intents and difficulties that the rules speak of.
+_INTENTS, _LEVELS = {"make": "build", "mend": "debug", "ask": "learn", "judge": "review", "reshape": "modify"}, {"starter": "beginner", "deep": "expert"}
+
+
+def _case(c: str, names: dict[str, str]) -> str:
+    return f"case {c} {' '.join(f'when {k!r} then {v!r}' for k, v in names.items())} else coalesce({c}, '') end"
+
+
+_I, _F, _C = _case("labels.intent", _INTENTS), _case("labels.difficulty", _LEVELS), "coalesce(labels.context, '')"
 _RULES = {
     "learn-many-agentic": f"{_I} = 'learn' and len({_arr('agentic')}) > 3", "build-no-build-task": f"{_I} = 'build' and len({_arr('task')}) > 0 and {_lacks('task', _BUILD)}", "beginner-many-concepts": f"{_F} = 'beginner' and len({_arr('concept')}) > 3",
     "beginner-constraints": f"{_F} = 'beginner' and len({_arr('constraint')}) > 0", "debug-no-bug-fixing": f"{_I} = 'debug' and len({_arr('task')}) > 0 and {_lacks('task', 'bug-fixing')}", "expert-no-concepts": f"{_F} = 'expert' and len({_arr('concept')}) = 0",
@@ -243,13 +251,14 @@ _RULES = {
 
 @query("select rule, count(*) as n from (" + " union all ".join(f"select '{k}' as rule from smoke_test_value where labels is not null and ({v})" for k, v in _RULES.items()) + ") group by rule")
 def consistency_rules(spark: SparkSession, d: str) -> DataFrame:
-    s = samples(spark, d).where("labels is not null").select(F.explode(L.consistency(F.col("labels"))).alias("rule"))
+    known = F.col("labels").withField("intent", F.expr(_I)).withField("difficulty", F.expr(_F))
+    s = samples(spark, d).where("labels is not null").select(F.explode(L.consistency(known)).alias("rule"))
     return s.groupBy("rule").agg(F.count("*").alias("n"))
 
 
-@query(f"""select row_id from smoke_test_value where labels is not null and list_has_any({_arr('domain')}, ['web-frontend', 'api-development', 'database']) and list_has_all({_arr('language')}, ['python'])""")
+@query(f"""select row_id from smoke_test_value where labels is not null and list_has_any({_arr('domain')}, ['bakery-orders', 'ferry-ticketing', 'clinic-rotas']) and list_has_all({_arr('language')}, ['python'])""")
 def trigger_match(spark: SparkSession, d: str) -> DataFrame:
-    t = L.trigger(F.col("labels"), any_of={"domain": ["web-frontend", "api-development", "database"], "concept": []}, all_of={"language": ["python"]})
+    t = L.trigger(F.col("labels"), any_of={"domain": ["bakery-orders", "ferry-ticketing", "clinic-rotas"], "concept": []}, all_of={"language": ["python"]})
     return samples(spark, d).where(t).select("row_id")
 
 

@@ -81,12 +81,12 @@ def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, least: int = 3, seed: int = 42) -> DataFrame:
-    """max(least, n / strata) rows of each stratum by hash of the key, cut to ``n``."""
+    """max(least, n / strata) rows of each stratum by hash of the key, then others by hash until there are ``n``."""
     k = df.select(stratum).distinct().count()
     h = F.xxhash64(F.col(key), F.lit(seed))
     per = max(least, n // max(k, 1))
     ranked = df.withColumn("_h", h).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key)))
-    return ranked.where(F.col("_r") <= per).orderBy("_r", "_h", key).limit(n).drop("_h", "_r")
+    return ranked.orderBy(F.col("_r") > per, "_h", key).limit(n).drop("_h", "_r")
 
 
 def serialize_tool_calls(calls: Column) -> Column:

@@ -27,7 +27,7 @@ def semhash_bands(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def knn_edges(spark: SparkSession, d: str) -> DataFrame:
     v, h = _embedded(spark, d)
-    e = C.neighbours(v, h, "vec_id", radius=24, cosine=0.4, n_bands=4, bits=64)
+    e = C.neighbours(v, h, "vec_id", radius=28, cosine=0.35, n_bands=8, bits=64)
     return e.select("a", "b", r6(F.col("similarity")).alias("similarity"))
 
 

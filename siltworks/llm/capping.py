@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import heapq
 import struct
+from decimal import Decimal
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -59,7 +60,7 @@ def cut_points(keyed: DataFrame, caps: DataFrame, heap_limit: int = 200_000) ->
             part = {c: v for c, v in wide.items() if (v[3] == "key") == (by == "key")}
             if not part:
                 continue
-            rows = spark.createDataFrame([(c, v[1], max(1, -(-(v[2] - v[1] + 1) // 2**RADIX_BITS)), v[2], v[4]) for c, v in part.items()], "contributor string, lo decimal(20,0), step decimal(20,0), hi decimal(20,0), fixed long")
+            rows = spark.createDataFrame([(c, Decimal(v[1]), Decimal(max(1, -(-(v[2] - v[1] + 1) // 2**RADIX_BITS))), Decimal(v[2]), v[4]) for c, v in part.items()], "contributor string, lo decimal(20,0), step decimal(20,0), hi decimal(20,0), fixed long")
             j = keyed.join(F.broadcast(rows), "contributor").where(F.col(by).between(F.col("lo"), F.col("hi")))
             if by == "row_id":
                 j = j.where("key = fixed")

@@ -30,20 +30,19 @@ def hyperplanes(dim: int, bits: int, seed: int) -> np.ndarray:
 
 def embed(text: str, dim: int, memo: dict[str, tuple[int, float]]) -> np.ndarray:
     """Signed hashed character trigrams of a text in lower case with single blanks, of unit length."""
-    t = " ".join((text or "").split()).lower()
     v = np.zeros(dim)
+    t = " ".join((text or "").split()).lower()
     if not t:
         return v
     t = f" {t} "
-    for i in range(max(len(t) - 2, 1)):
-        g = t[i : i + 3]
-        if g not in memo:
-            if len(memo) > 500_000:
-                memo.clear()
-            d = hashlib.blake2b(g.encode(), digest_size=16).digest()
-            memo[g] = int.from_bytes(d[:4], "big") % dim, -1.0 if d[4] & 1 else 1.0
-        k, s = memo[g]
-        v[k] += s
+    grams = list(map("".join, zip(t, t[1:], t[2:], strict=False))) if len(t) > 3 else [t]
+    if len(memo) > 500_000:
+        memo.clear()
+    for g in set(grams) - memo.keys():
+        d = hashlib.blake2b(g.encode("utf-8", "surrogatepass"), digest_size=16).digest()
+        memo[g] = int.from_bytes(d[:4], "big") % dim, -1.0 if d[4] & 1 else 1.0
+    at, sign = zip(*map(memo.__getitem__, grams), strict=True)
+    v = np.bincount(at, weights=sign, minlength=dim)
     n = np.sqrt((v * v).sum())
     return v / n if n else v
 
@@ -66,7 +65,7 @@ def semhash(df: DataFrame, key: str, vector: str = "embedding", dim: int = CLUST
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            v = np.array(b.column(1).to_pylist(), np.float64).reshape(b.num_rows, dim)
+            v = b.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(b.num_rows, dim)
             words = np.packbits(v @ planes.T >= 0, axis=1, bitorder="little").view("<i8").ravel() if b.num_rows else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1, dtype=np.int32) * (bits // 64)), pa.array(words, pa.int64()))], names=[key, "hash"])
 

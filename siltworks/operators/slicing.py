@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.config import WINDOWS
 from siltworks.functions.normalize import cot_text, strip_cot, turns
+from siltworks.functions.text import let
 
 
 def reply_positions(ts: Column) -> Column:
@@ -49,22 +50,28 @@ def whole_rows_limit(df: DataFrame, limit: int, order: list[str], n_col: str = "
     return run.where((F.col("_cum") <= limit) | (F.col("_rn") == 1)).select(*df.columns, F.col("_cum").alias("cum_slices"))
 
 
-def _index(ts: Column, roles: tuple[str, ...], lo: Column, hi: Column) -> Column:
-    """0-based places in lo..hi whose role is one of ``roles``."""
+def _index(roles: Column, wanted: tuple[str, ...], lo: Column, hi: Column) -> Column:
+    """0-based places in lo..hi whose role is one of ``wanted``."""
     span = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<int>"))
-    return F.filter(span, lambda i: F.element_at(ts, i + 1)["from"].isin(*roles))
+    return F.filter(span, lambda i: F.element_at(roles, i + 1).isin(*wanted))
 
 
-def body_start(ts: Column, most: int = WINDOWS["prefix"]) -> Column:
+def body_start(roles: Column, most: int = WINDOWS["prefix"]) -> Column:
     """Where the body begins: after the leading system turns (at most ``most``), the first human turn and the first reply
     after it, with all turns between them; without any of these, after the first ``most`` turns."""
-    n = F.size(ts)
-    lead = F.coalesce(F.array_min(F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(ts, i + 1)["from"] != "system")), n)
-    human = F.try_element_at(_index(ts, ("human",), lead, n - 1), F.lit(1))
-    gpt = F.try_element_at(_index(ts, ("gpt",), F.coalesce(human, n) + 1, n - 1), F.lit(1))
-    kept = F.least(lead, F.lit(most))
-    last = F.when((kept < most) & human.isNotNull(), F.when((kept + 1 < most) & gpt.isNotNull(), gpt).otherwise(human)).when(kept > 0, kept - 1).otherwise(F.least(F.lit(most), n) - 1)
-    return F.least(last + 1, n)
+    n = F.size(roles)
+
+    def after(lead: Column) -> Column:
+        human = F.try_element_at(_index(roles, ("human",), lead, n - 1), F.lit(1))
+        return let(human, lambda h: of(lead, h))
+
+    def of(lead: Column, human: Column) -> Column:
+        gpt = F.try_element_at(_index(roles, ("gpt",), F.coalesce(human, n) + 1, n - 1), F.lit(1))
+        kept = F.least(lead, F.lit(most))
+        last = F.when((kept < most) & human.isNotNull(), F.when((kept + 1 < most) & gpt.isNotNull(), gpt).otherwise(human)).when(kept > 0, kept - 1).otherwise(F.least(F.lit(most), n) - 1)
+        return F.least(last + 1, n)
+
+    return let(F.coalesce(F.array_min(F.filter(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(roles, i + 1) != "system")), n), after)
 
 
 def windows(df: DataFrame, turns_col: str = "turns", longer_than: int = WINDOWS["longer_than"], size: int = WINDOWS["size"], stride: int = WINDOWS["stride"], prefix: int = WINDOWS["prefix"]) -> DataFrame:
@@ -73,21 +80,25 @@ def windows(df: DataFrame, turns_col: str = "turns", longer_than: int = WINDOWS[
 
     Added: window_index (from 1), total_windows, turn_start, turn_end (0-based, inclusive), prefix_turns, body."""
     ts = F.col(turns_col)
-    out = df.where(F.size(ts) > 0).withColumn("_n", F.size(ts)).withColumn("_b", F.when(F.col("_n") > longer_than, body_start(ts, prefix)).otherwise(F.lit(0)))
-    n, b = F.col("_n"), F.col("_b")
-
-    def aligned(start: Column) -> Column:
-        end = F.least(start + size - 1, n - 1)
-        s = F.coalesce(F.try_element_at(_index(ts, ("human", "system"), start, end), F.lit(1)), start)
-        e = F.coalesce(F.try_element_at(_index(ts, ("gpt", "tool"), s, end), F.lit(-1)), end)
-        return F.struct(s.alias("s"), e.alias("e"))
-
-    ranges = F.transform(F.sequence(b, n - 1, F.lit(stride)), aligned)
-    reach = F.array_min(F.filter(F.transform(F.col("_r"), lambda r, i: F.when(r["e"] >= n - 1, i)), lambda x: x.isNotNull()))
-    one = F.array(F.struct(F.lit(0).alias("s"), (n - 1).alias("e")))
-    out = out.withColumn("_r", F.when((n > longer_than) & (b < n), ranges).otherwise(one))
-    out = out.withColumn("_r", F.array_distinct(F.slice("_r", 1, F.coalesce(reach + 1, F.size("_r"))))).withColumn("total_windows", F.size("_r"))
-    out = out.select(*df.columns, "_b", "total_windows", F.posexplode("_r").alias("_i", "_w"))
+
+    def plan(roles: Column) -> Column:
+        n = F.size(roles)
+
+        def aligned(start: Column) -> Column:
+            end = F.least(start + size - 1, n - 1)
+            s = F.coalesce(F.try_element_at(_index(roles, ("human", "system"), start, end), F.lit(1)), start)
+            return let(s, lambda s: F.struct(s.alias("s"), F.coalesce(F.try_element_at(_index(roles, ("gpt", "tool"), s, end), F.lit(-1)), end).alias("e")))
+
+        def until_the_end(r: Column) -> Column:
+            reach = F.array_min(F.filter(F.transform(r, lambda x, i: F.when(x["e"] >= n - 1, i)), lambda x: x.isNotNull()))
+            return F.array_distinct(F.slice(r, 1, F.coalesce(reach + 1, F.size(r))))
+
+        one = F.array(F.struct(F.lit(0).alias("s"), (n - 1).alias("e")))
+        of = lambda b: F.struct(b.alias("b"), F.when((n > longer_than) & (b < n), let(F.transform(F.sequence(b, n - 1, F.lit(stride)), aligned), until_the_end)).otherwise(one).alias("r"))
+        return let(F.when(n > longer_than, body_start(roles, prefix)).otherwise(F.lit(0)), of)
+
+    out = df.where(F.size(ts) > 0).withColumn("_p", let(F.transform(ts, lambda t: t["from"]), plan))
+    out = out.select(*df.columns, F.col("_p.b").alias("_b"), F.size("_p.r").alias("total_windows"), F.posexplode("_p.r").alias("_i", "_w"))
     body = F.slice(turns_col, F.col("_w.s") + 1, F.col("_w.e") - F.col("_w.s") + 1)
     return out.select(*df.columns, (F.col("_i") + 1).alias("window_index"), "total_windows", F.col("_w.s").alias("turn_start"), F.col("_w.e").alias("turn_end"), F.col("_b").alias("prefix_turns"), body.alias("body"))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.operators.slicing import conversations
-from siltworks.session import table
+from siltworks.session import spread, table
 
 
 def r6(c: Column) -> Column:
@@ -38,7 +38,7 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return conversations(table(spark, sf_dir, "smoke_test"))
+    return conversations(spread(table(spark, sf_dir, "smoke_test").select("row_id", "id", "conversations", "metadata")))
 
 
 def slices(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -40,6 +40,12 @@ def shared_dir(spark: SparkSession) -> str:
     return found
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over all cores where its files give fewer tasks than there are: for heavy work per row on small inputs; large inputs stay as they are."""
+    n = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
+
+
 def cut(df: DataFrame, eager: bool = True) -> DataFrame:
     """Cut the lineage with a checkpoint in the shared folder."""
     shared_dir(df.sparkSession)

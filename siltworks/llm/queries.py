@@ -8,11 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm import capping, charsets, encoding, leakage, neardup, pairs, replies, terms, truncation
-from siltworks.session import table
+from siltworks.session import spread, table
 
 
 def p1_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.groups(table(spark, sf_dir, "smoke_test"))
+    return neardup.groups(spread(table(spark, sf_dir, "smoke_test")))
 
 
 def p1_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,15 +40,15 @@ def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replies.defects(table(spark, sf_dir, "smoke_test"))
+    return replies.defects(spread(table(spark, sf_dir, "smoke_test")))
 
 
 def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.cut_turns(table(spark, sf_dir, "smoke_test"))
+    return truncation.cut_turns(spread(table(spark, sf_dir, "smoke_test")))
 
 
 def p5_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return truncation.truncation_by_source(table(spark, sf_dir, "smoke_test"))
+    return truncation.truncation_by_source(spread(table(spark, sf_dir, "smoke_test")))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,11 +61,11 @@ def p6_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p7_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return encoding.encode_corpus(table(spark, sf_dir, "documents"))
+    return encoding.encode_corpus(spread(table(spark, sf_dir, "documents")))
 
 
 def p8_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return leakage.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "eval_items"))
+    return leakage.leaks(spread(table(spark, sf_dir, "documents")), table(spark, sf_dir, "eval_items"))
 
 
 def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,7 +73,7 @@ def p8_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p9_restored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return charsets.wrong_encoding(table(spark, sf_dir, "documents"))
+    return charsets.wrong_encoding(spread(table(spark, sf_dir, "documents")))
 
 
 def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:

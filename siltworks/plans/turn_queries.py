@@ -7,8 +7,11 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import normalize as N
 from siltworks.functions import text as T
+from siltworks.functions.budgets import within_budget
 from siltworks.operators import planning as P
 from siltworks.operators import slicing as SL
+from siltworks.operators.inline import inherit
+from siltworks.operators.trajectory import structure
 from siltworks.plans.base import TURNS, q6, r6, turns
 from siltworks.plans.registry import query
 from siltworks.sources.readers import seeded_sample, stratified_sample
@@ -161,3 +164,23 @@ def seeded_sample_rows(spark: SparkSession, d: str) -> DataFrame:
 def stratified_sample_rows(spark: SparkSession, d: str) -> DataFrame:
     """A sampling operator: rows of each language by hash."""
     return stratified_sample(table(spark, d, "documents").where("lang is not null").select("doc_id", "lang"), "doc_id", "lang", 200)
+
+
+@query()
+def structure_signals(spark: SparkSession, d: str) -> DataFrame:
+    return turns(spark, d).select("row_id", structure(F.col("turns")).alias("s")).select("row_id", "s.*")
+
+
+@query()
+def labeling_budget(spark: SparkSession, d: str) -> DataFrame:
+    """Conversations within 3000 characters for a labeler."""
+    b = within_budget(turns(spark, d), "row_id", budget=3000)
+    return b.select("row_id", "truncated", F.size("turns").alias("n_turns"), F.aggregate("turns", F.lit(0), lambda a, t: a + F.length(t["value"])).alias("chars"))
+
+
+@query()
+def inherited_labels(spark: SparkSession, d: str) -> DataFrame:
+    """Labels of planned slices passed on to the others."""
+    s = P.inheritance(_slices(spark, d).where("total_turns > 1").select("row_id", "turn_index"), "row_id", ["turn_index"], full_label_count=2, threshold=2, min_gap=2)
+    s = s.withColumn("intent", F.when(F.col("labelled"), F.concat(F.lit("i"), F.col("pos").cast("string"))))
+    return inherit(s.select("row_id", "pos", "source_pos", "intent"), "row_id", "pos", "source_pos", ["intent"])

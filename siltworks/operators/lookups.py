@@ -63,3 +63,9 @@ def agreement(a: DataFrame, b: DataFrame, key: str, dims_single: list[str], dims
 def examples(df: DataFrame, by: list[str], order: list[Column], k: int) -> DataFrame:
     """The first ``k`` rows of each group."""
     return df.withColumn("_rn", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("_rn") <= k).drop("_rn")
+
+
+def disagreements(a: DataFrame, b: DataFrame, key: str, dim: str) -> DataFrame:
+    """``(key, left, right)`` of the records on which two single-valued label sets differ; a missing label is the empty one."""
+    x, y = F.coalesce(F.col("left"), F.lit("")), F.coalesce(F.col("right"), F.lit(""))
+    return a.select(key, F.col(dim).alias("left")).join(b.select(key, F.col(dim).alias("right")), key).where(x != y)

@@ -54,3 +54,30 @@ def coverage_at(long: DataFrame, scored: DataFrame, key: str, value: str, thresh
     every = long.select("dim", "tag").distinct().agg(F.count("*").alias("tags"))
     kept = best.select(F.explode(F.array(*[F.lit(float(t)) for t in thresholds])).alias("threshold"), "m").groupBy("threshold").agg(F.count_if(F.col("m") >= F.col("threshold")).alias("retained"))
     return kept.crossJoin(F.broadcast(every)).select("threshold", "tags", "retained", (F.col("retained") / F.col("tags")).alias("coverage"))  # one row each side of a handful
+
+
+def merge_counts(parts: Sequence[DataFrame], keys: Sequence[str], n: str = "n") -> DataFrame:
+    """Counts of several inputs added up."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.groupBy(*keys).agg(F.sum(n).alias(n))
+
+
+def merge_summaries(parts: Sequence[DataFrame], keys: Sequence[str] = ()) -> DataFrame:
+    """Numeric summaries (n, total, lo, hi) of several inputs as one; the mean is exact, not a mean of means."""
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    g = out.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").alias("total"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    return g.withColumn("mean", F.col("total") / F.col("n"))
+
+
+def percentiles_from_bins(bins: DataFrame, pcts: Sequence[int]) -> DataFrame:
+    """``(pct, value)`` estimated from a histogram (bin, n): the place within the bin that holds the wanted rank, linearly."""
+    w = Window.orderBy("bin")  # ten rows
+    run = bins.withColumn("_hi", F.sum("n").over(w)).withColumn("_n", F.sum("n").over(Window.partitionBy(F.lit(1))))
+    p = run.withColumn("pct", F.explode(F.array(*[F.lit(x) for x in pcts])))
+    want = F.col("_n") * F.col("pct") / 100
+    hit = p.where((want <= F.col("_hi")) & ((want > F.col("_hi") - F.col("n")) | ((F.col("pct") == 0) & (F.col("_hi") == F.col("n")))))
+    return hit.select(F.col("pct").cast("long").alias("pct"), (F.col("bin") + (want - (F.col("_hi") - F.col("n"))) / F.col("n")).alias("value"))

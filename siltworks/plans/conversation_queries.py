@@ -301,3 +301,40 @@ def structure_score(spark: SparkSession, d: str) -> DataFrame:
     g = keyed(spark, d).where("value is not null").groupBy("ck").agg(F.avg(F.when(F.col("value") >= 7, 1.0).otherwise(0.0)).alias("h"), F.avg(F.when(F.col("value") < 4, 1.0).otherwise(0.0)).alias("l"), F.max_by("value", F.struct("turn_index", "row_id")).alias("f"))
     return g.select("ck", r6(C.structure_score(F.col("h"), F.col("l"), z, z, z, z, z, z, z, F.col("f"), z)).alias("structure"))
 
+
+
+@query(f"with {SLICES} select intent, count(value) as n, {q6('sum(value)')} as total, min(value) as lo, max(value) as hi, {q6('avg(value)')} as mean from slices where value is not null group by intent")
+def merge_stats(spark: SparkSession, d: str) -> DataFrame:
+    """Summaries of two halves, merged."""
+    s = slices(spark, d).where("value is not null")
+    parts = [s.where(F.col("row_id") % 2 == k).groupBy("intent").agg(*S.numeric_summary("value")).drop("mean") for k in (0, 1)]
+    m = S.merge_summaries(parts, ["intent"])
+    return m.select("intent", "n", r6(F.col("total")).alias("total"), "lo", "hi", r6(F.col("mean")).alias("mean"))
+
+
+@query(f"with {SLICES} select intent, n_flags::bigint as flags, count(*) as n from slices group by all")
+def merge_distributions(spark: SparkSession, d: str) -> DataFrame:
+    s = slices(spark, d).withColumn("flags", F.col("n_flags").cast("long"))
+    return S.merge_counts([s.where(F.col("row_id") % 3 == k).groupBy("intent", "flags").agg(F.count("*").alias("n")) for k in (0, 1, 2)], ["intent", "flags"])
+
+
+@query(f"with {SLICES}, b as (select greatest(1, least(10, floor(value)))::bigint as bin, count(*) as n from slices where value is not null group by 1), r as (select *, sum(n) over (order by bin) as hi, sum(n) over () as t from b), p(pct) as (values (25), (50), (75)) select pct::bigint as pct, {q6('bin + (t * pct / 100.0 - (hi - n)) / n')} as value from r, p where t * pct / 100.0 <= hi and t * pct / 100.0 > hi - n")
+def percentiles_from_bins(spark: SparkSession, d: str) -> DataFrame:
+    p = S.percentiles_from_bins(S.histogram(slices(spark, d), "value"), (25, 50, 75))
+    return p.select("pct", r6(F.col("value")).alias("value"))
+
+
+@query(f"with {SAMPLES} select a.row_id as row_id, coalesce(a.labels.intent, '') as was, coalesce(b.labels.intent, '') as now from samples a join samples b on b.row_id = a.row_id + 1 where coalesce(a.labels.intent, '') <> coalesce(b.labels.intent, '')")
+def model_disagreements(spark: SparkSession, d: str) -> DataFrame:
+    s = samples(spark, d).select("row_id", F.col("labels.intent").alias("intent"))
+    x = LU.disagreements(s, s.withColumn("row_id", F.col("row_id") - 1), "row_id", "intent")
+    return x.select("row_id", F.coalesce("left", F.lit("")).alias("was"), F.coalesce("right", F.lit("")).alias("now"))
+
+
+@query(f"with {SLICES}, {_W}, {_CV}, {_CR} select ck, {q6('greatest(conv_value - .5, least(conv_value + 1.5, greatest(conv_value, case when c <= 5.5 then c else 5.5 + greatest(0.0, least(1.0, conf)) * (c - 5.5) end)))')} as conv_value_v2 from (select cv.ck, cv.conv_value, cv.conf, .8 * cv.mx + .2 * coalesce(cr.conv_rarity, 5.0) as c from cv left join cr using (ck))")
+def conv_value_v2(spark: SparkSession, d: str) -> DataFrame:
+    """The guarded second value: the better of the first and a shrunk mix of peak and rarity, within -0.5 and +1.5."""
+    v = _values(spark, d).join(_rarity(spark, d).select("ck", "conv_rarity"), "ck", "left")
+    peak = keyed(spark, d).groupBy("ck").agg(F.max("value").alias("mx"))
+    c = 0.8 * F.col("mx") + 0.2 * F.coalesce("conv_rarity", F.lit(5.0))
+    return v.join(peak, "ck").select("ck", r6(C.guardrail(F.greatest("conv_value", V.shrink(c, F.col("confidence"))), F.col("conv_value"), 1.5)).alias("conv_value_v2"))

@@ -10,8 +10,10 @@ counted per pair and pairs with at least MATCHES of them are kept, then checked
 * prefix and skip merge for what is left: lists whose members are already in one group are skipped. A pair in different
   groups with MATCHES collisions has them all in the remaining lists, so the first of them stands among the rarest
   r - MATCHES + 1 lists of either document (r: the document's remaining lists), the second among one more. Collisions are
-  counted in these prefixes, over the lists of at most LONG_LIST members; the longer lists are merged only for documents
-  that have MATCHES of them, and there as stars about the member that has most of them.
+  counted in these prefixes, over the lists of at most LONG_LIST members;
+* block merge: pairs whose first common list is longer have longer ones only in common. Such lists are cut into blocks of
+  BLOCK members, and every two blocks meet in one task that counts common lists and common shingles of all their pairs at
+  once. Documents that have too few shingles in common with all others together go before. No list or partner is dropped.
 
 Groups are the connected components.
 """
@@ -21,6 +23,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +39,7 @@ SHINGLE = 5
 COMMON = 0.5
 CHECK_SHINGLE = 3
 LONG_LIST = 256
+BLOCK = 2048
 
 
 def _lists(batch: pa.RecordBatch, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -128,7 +132,7 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
     edges = cut(_similar(docs, star, common, check_k))
     comp = cut(connected_components(edges))
 
-    more = residual_pairs(lists, comp, matches, long_list)
+    more = residual_pairs(docs, lists, comp, matches, long_list, common, check_k)
     if more is not None:
         edges = cut(edges.union(_similar(docs, more, common, check_k)))
         comp = cut(connected_components(edges))
@@ -137,8 +141,84 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
     return member.join(comp.select(F.col("node").alias("doc"), "component"), "doc", "left").select("row_id", F.coalesce("component", "doc").alias("group_id"))
 
 
-def residual_pairs(lists: DataFrame, comp: DataFrame, matches: int, long_list: int) -> DataFrame | None:
-    """Pairs (a, b) in different components with at least ``matches`` common lists; None if there are none."""
+def overlaps(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many members each set of ``left`` has in common with each of ``right``; members that stand in the same sets count as one with a weight."""
+    both = [*left, *right]
+    n, out = len(left), np.zeros((len(left), len(right)), np.float32)
+    of = np.repeat(np.arange(len(both)), [len(x) for x in both])
+    item = np.unique(np.concatenate(both), return_inverse=True)[1] if len(of) else of
+    order = np.argsort(item, kind="stable")
+    item, of = item[order], of[order]
+    if not len(item):
+        return out
+    start = np.nonzero(np.concatenate([[True], item[1:] != item[:-1]]))[0]
+    shared = np.nonzero((of[start] < n) & (np.maximum.reduceat(of, start) >= n))[0]
+    where = np.add.reduceat(mix(of.astype(np.uint64) + np.uint64(1)), start)
+    _, one, times = np.unique(where[shared], return_index=True, return_counts=True)
+    end = np.append(start[1:], len(item))
+    for lo in range(0, len(one), 2000):
+        cols = shared[one[lo : lo + 2000]]
+        m = np.zeros((len(both), len(cols)), np.float32)
+        size = end[cols] - start[cols]
+        m[np.concatenate([of[a:b] for a, b in zip(start[cols], end[cols], strict=True)]), np.repeat(np.arange(len(cols)), size)] = 1
+        out += (m[:n] * times[lo : lo + 2000].astype(np.float32)) @ m[n:].T
+    return out
+
+
+def _meet(matches: int, common: float):  # noqa: ANN202
+    """Of two blocks of a list (or one with itself), links between components: as many as join what belongs together."""
+
+    def run(f: pd.DataFrame) -> pd.DataFrame:
+        sides = [g for _, g in f.groupby("side")]
+        x, y = sides[0], sides[-1]
+        if f["comp"].nunique() < 2 or (len(sides) == 1 and f["x"].iloc[0] != f["y"].iloc[0]):
+            return pd.DataFrame({"a": np.zeros(0, np.int64), "b": np.zeros(0, np.int64)})
+        size = np.maximum.outer(x["set"].map(len).to_numpy(), y["set"].map(len).to_numpy())
+        ok = overlaps(x["ks"].tolist(), y["ks"].tolist()) >= matches
+        ok &= x["comp"].to_numpy()[:, None] != y["comp"].to_numpy()[None, :]
+        if ok.any():
+            ok &= overlaps(x["set"].tolist(), y["set"].tolist()) >= common * np.maximum(size, 1)
+        root: dict[int, int] = {}
+
+        def top(c: int) -> int:
+            while (up := root.get(c, c)) != c:
+                root[c] = c = root.get(up, up)
+            return c
+
+        links = []
+        dx, cx, dy, cy = x["doc"].to_numpy(), x["comp"].to_numpy(), y["doc"].to_numpy(), y["comp"].to_numpy()
+        for i, j in zip(*np.nonzero(ok), strict=True):
+            u, v = top(cx[i]), top(cy[j])
+            if u != v:
+                root[u] = v
+                links.append((min(dx[i], dy[j]), max(dx[i], dy[j])))
+        return pd.DataFrame(links, columns=["a", "b"], dtype=np.int64)
+
+    return run
+
+
+def _block_pairs(docs: DataFrame, per: DataFrame, hot: DataFrame, matches: int, common: float, k: int, block: int) -> DataFrame:
+    """Links (a, b) among the members (doc, comp, k) of longer lists: whatever two alike documents of a list have, their components come together."""
+    ids = hot.select("doc", "comp").distinct()
+    sets = docs.select("row_id", "texts").join(ids.select(F.col("doc").alias("row_id")), "row_id", "left_semi").mapInArrow(_shingle_sets(k), "doc long, set array<int>")
+    sets = written(sets.join(ids, "doc"), "hotsets")
+    # a document that is alike to some other has the wanted share of its shingles in common with other components
+    each = sets.select("doc", "comp", F.explode("set").alias("s"))
+    open_ = each.groupBy("s").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("s")
+    shared = each.join(open_, "s").groupBy("doc").agg(F.count("*").alias("m"))
+    left = sets.join(shared, "doc").where(F.col("m") >= F.lit(common) * F.size("set")).select("doc", "set")
+    left = cut(left.join(per.select("doc", F.transform("cks", lambda s: s["k"]).alias("ks")), "doc"))
+    hot = cut(hot.join(left.select("doc"), "doc", "left_semi"))
+    n = hot.groupBy("k").agg(F.ceil(F.count("*") / block).cast("int").alias("n"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("k", "n")
+    own = hot.join(n, "k").withColumn("side", F.pmod(F.xxhash64("doc"), F.col("n")).cast("int"))
+    cells = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    cells = cells.select("k", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "doc", "comp").join(left, "doc")
+    return cells.groupBy("k", "x", "y").applyInPandas(_meet(matches, common), "a long, b long")
+
+
+def residual_pairs(docs: DataFrame, lists: DataFrame, comp: DataFrame, matches: int, long_list: int, common: float, k: int, block: int = BLOCK) -> DataFrame | None:
+    """Pairs (a, b) in different components with at least ``matches`` common lists, None if there are none; of those that
+    have only lists of more than ``long_list`` members in common, as many as join the components of all that are alike."""
     c = comp.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
     own = lists.select("doc", "k", "c").join(c, "doc", "left").withColumn("comp", F.coalesce("comp", "doc"))
     open_ = own.groupBy("k").agg(F.min("comp").alias("x"), F.max("comp").alias("y")).where("x < y").select("k")
@@ -154,14 +234,10 @@ def residual_pairs(lists: DataFrame, comp: DataFrame, matches: int, long_list: i
     right = posts.select(F.col("doc").alias("b"), F.col("comp").alias("cb"), F.col("long").alias("lb"), "k")
     met = posts.select(F.col("doc").alias("a"), F.col("comp").alias("ca"), F.col("long").alias("la"), "k").join(right, "k").where("a < b and ca <> cb")
     pairs = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.col("la") & F.col("lb")).alias("l")).where("n > 1 or l").select("a", "b")
-    # no short list in common, so at least ``matches`` longer ones: such documents consist to a good part of text that more
-    # than ``long_list`` others hold. In each longer list they meet the member that has most of these lists, so is made of
-    # little but the common text: whoever is alike by that text alone is like it
-    many = F.filter("cks", lambda s: s["c"] > long_list)
-    far = per.select("doc", F.transform(many, lambda s: s["k"]).alias("ls")).where(F.size("ls") >= matches).select("doc", F.size("ls").alias("m"), F.explode("ls").alias("k"))
-    hubs = far.groupBy("k").agg(F.max_by("doc", F.struct("m", "doc")).alias("hub"))
-    star = far.join(hubs, "k").where("doc <> hub").groupBy(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).agg(F.count("*").alias("n")).where(F.col("n") * 2 >= matches)
-    pairs = pairs.union(star.select("a", "b"))
+    # the first common list is a longer one, so all are
+    hot = cut(per.select("doc", "comp", F.explode(F.filter(prefix(1), lambda s: s["c"] > long_list)).alias("s")).select("doc", "comp", F.col("s.k").alias("k")))
+    if not hot.isEmpty():
+        pairs = pairs.union(_block_pairs(docs, per, hot, matches, common, k, block))
     ks = per.select("doc", F.transform("cks", lambda s: s["k"]).alias("ks"))
     j = pairs.distinct().join(ks.select(F.col("doc").alias("a"), F.col("ks").alias("ka")), "a").join(ks.select(F.col("doc").alias("b"), F.col("ks").alias("kb")), "b")
     out = cut(j.where(F.size(F.array_intersect("ka", "kb")) >= matches).select("a", "b"))

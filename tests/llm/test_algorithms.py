@@ -83,6 +83,23 @@ def test_near_duplicates_in_hot_groups(spark):
     assert sizes[:5] == [150, 150, 2, 2, 2] and len(sizes) == 2 + 150 and all(got[1000 + p] == 2 + 3 * p for p in range(3))
 
 
+def test_near_duplicates_by_common_texts_only(spark):
+    """Prompts and questions that many rows share, short replies: groups as by brute force, whatever is a long list."""
+    rng = random.Random(6)
+    prompts, questions = [words(rng, 60) for _ in range(4)], [words(rng, 60) for _ in range(4)]
+    rows = [(i, "i", [("system", prompts[i % 4]), ("human", questions[i // 4 % 4]), ("gpt", words(rng, 24))], None, AT, None) for i in range(320)]
+    rows += [(1000 + i, "i", [("system", prompts[i % 4]), ("human", words(rng, 90))], None, AT, None) for i in range(40)]
+    got = {n: {r.row_id: r.group_id for r in neardup.groups(spark.createDataFrame(rows, CONV), long_list=n).collect()} for n in (12, 1000)}
+    assert got[12] == got[1000] == {i: i % 16 if i < 320 else i for i, *_ in rows}
+
+
+def test_overlaps():
+    rng = np.random.default_rng(7)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(30)]
+    want = [[len(np.intersect1d(a, b)) for b in sets[12:]] for a in sets[:12]]
+    assert neardup.overlaps(sets[:12], sets[12:]).tolist() == want
+
+
 def test_near_duplicates_of_nothing(spark):
     assert neardup.group_pairs(neardup.groups(spark.createDataFrame([], CONV))).collect() == []
 

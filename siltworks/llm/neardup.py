@@ -34,7 +34,7 @@ from siltworks.operators.components import connected_components
 from siltworks.session import cut, written
 
 COORDS = 32
-MATCHES = 10
+MATCHES = 6
 SHINGLE = 5
 COMMON = 0.5
 CHECK_SHINGLE = 3

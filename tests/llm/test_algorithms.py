@@ -93,6 +93,25 @@ def test_near_duplicates_by_common_texts_only(spark):
     assert got[12] == got[1000] == {i: i % 16 if i < 320 else i for i, *_ in rows}
 
 
+def test_near_duplicates_with_scattered_edits(spark):
+    """Pairs with every eighth to seventh word changed at random: the exact check decides, candidates hardly lose any."""
+    rng = random.Random(8)
+    rows, alike = [], []
+    for i in range(300):
+        a = words(rng, 120).split()
+        b = list(a)
+        for at in rng.sample(range(120), rng.randrange(12, 19)):
+            b[at] = rng.choice(VOCAB)
+        three = [{tuple(w[j : j + 3]) for j in range(118)} for w in (a, b)]
+        if len(three[0] & three[1]) >= neardup.COMMON * max(map(len, three)):
+            alike.append((2 * i, 2 * i + 1))
+        rows += [(2 * i, "i", [("human", " ".join(a))], None, AT, None), (2 * i + 1, "i", [("human", " ".join(b))], None, AT, None)]
+    got = {r.row_id: r.group_id for r in neardup.groups(spark.createDataFrame(rows, CONV)).collect()}
+    found = sum(got[a] == got[b] for a, b in alike)
+    print("recall", found, "of", len(alike))
+    assert len(alike) > 200 and found >= 0.95 * len(alike)
+
+
 def test_overlaps():
     rng = np.random.default_rng(7)
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(30)]

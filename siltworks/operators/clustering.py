@@ -1,9 +1,9 @@
 """Semantic clusters of windows: hashed embeddings, sign-bit hashes in bands, a neighbour graph, components, representatives.
 
-Windows with equal hashes fold into one node first, so copies don't fill a band's bucket. Within a bucket over ``hot``
-nodes the list is split by a second band, taken together with the first, until it is short or all bands are in use; pairs
-that two nodes at Hamming distance within the radius can form are kept (by the pigeonhole rule they agree in at least one
-band when the radius is below the band count; above that banding is approximate, as in any banded search)."""
+Windows with equal hashes fold into one node first, so copies don't fill a band's bucket. A bucket over ``hot`` nodes is cut
+into blocks of about that many, and every two blocks meet in a task of their own; all pairs of a bucket within the radius
+are kept, whatever its size (by the pigeonhole rule they agree in at least one band when the radius is below the band count;
+above that banding is approximate, as in any banded search)."""
 
 from __future__ import annotations
 
@@ -96,15 +96,14 @@ def neighbours(vectors: DataFrame, hashes: DataFrame, key: str, radius: int = CL
     nodes = cut(groups.select(F.col("rep").alias("k"), "hash"))
     posts = nodes.select("k", F.posexplode(bands(F.col("hash"), bits, n_bands)).alias("i", "v"))
     sizes = posts.groupBy("i", "v").agg(F.count("*").alias("c")).where("c > 1")
-    live = posts.join(sizes, ["i", "v"])
-    short = live.where(F.col("c") <= hot).select("k", F.xxhash64("i", "v").alias("key"))
-    long_ = live.where(F.col("c") > hot).select("k", "i", "v")
-    other = long_.select(F.col("k"), F.col("i").alias("i1"), F.col("v").alias("v1")).join(posts.select(F.col("k"), F.col("i").alias("i2"), F.col("v").alias("v2")), "k").where("i1 <> i2")
-    split = other.select("k", F.xxhash64("i1", "v1", "i2", "v2").alias("key"))  # a node's own bands
-    keyed = short.union(split)
-    pairs = keyed.select(F.col("k").alias("a"), "key").join(keyed.select(F.col("k").alias("b"), "key"), "key").where("a < b").select("a", "b").distinct()
-    h = nodes.select("k", "hash")
-    near = pairs.join(h.select(F.col("k").alias("a"), F.col("hash").alias("ha")), "a").join(h.select(F.col("k").alias("b"), F.col("hash").alias("hb")), "b").where(hamming(F.col("ha"), F.col("hb"), bits // 64) <= radius).select("a", "b")
+    live = posts.join(sizes, ["i", "v"]).join(nodes, "k").withColumn("n", F.ceil(F.col("c") / hot).cast("int"))
+    live = live.withColumn("side", F.pmod(F.xxhash64("k"), F.col("n")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
+    live = live.select("i", "v", F.least("side", "other").alias("x"), F.greatest("side", "other").alias("y"), "side", "k", "hash")
+    cell = ["i", "v", "x", "y"]
+    right = live.select(*cell, F.col("side").alias("sb"), F.col("k").alias("b"), F.col("hash").alias("hb"))
+    met = live.select(*cell, F.col("side").alias("sa"), F.col("k").alias("a"), F.col("hash").alias("ha")).join(right, cell)
+    met = met.where("a < b").where((F.col("x") == F.col("y")) | (F.col("sa") != F.col("sb")))  # each pair of a bucket in one cell
+    near = met.where(hamming(F.col("ha"), F.col("hb"), bits // 64) <= radius).select("a", "b").distinct()
     v = vectors.select(F.col(key).alias("k"), F.col("embedding").alias("e"))
     sim = near.join(v.select(F.col("k").alias("a"), F.col("e").alias("ea")), "a").join(v.select(F.col("k").alias("b"), F.col("e").alias("eb")), "b").select("a", "b", dot(F.col("ea"), F.col("eb")).alias("similarity")).where(F.col("similarity") >= cosine)
     both = sim.union(sim.select(F.col("b").alias("a"), F.col("a").alias("b"), "similarity"))

@@ -187,6 +187,18 @@ def test_hash_embedding_and_semhash(spark):
     assert ("b", "a") in {(r.a, r.b) for r in got}
 
 
+def test_neighbours_of_hot_buckets(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(9)
+    centre = rng.normal(size=64)
+    v = [(i, (centre + rng.normal(size=64) * 1.2).astype(np.float32).tolist()) for i in range(120)]
+    v = spark.createDataFrame(v, "k long, embedding array<float>")
+    h = CL.semhash(v, "k", dim=64, bits=64)
+    got = [{(r.a, r.b) for r in CL.neighbours(v, h, "k", radius=28, cosine=0.2, top_k=200, n_bands=8, bits=64, hot=n).collect()} for n in (1000, 8, 1)]
+    assert got[0] == got[1] == got[2] and len(got[0]) > 1000
+
+
 def test_filter_null_semantics(spark):
     schema = "i int, value_score double, selection_score double, correctness int, thinking_mode string, difficulty string, source_file string, inherited boolean, partial boolean"
     df = spark.createDataFrame([(1, 7.0, 7.0, None, None, None, None, None, None), (2, None, 7.0, 5, "", "", "", False, False), (3, 7.0, None, 5, "slow", "hard", "f", True, False), (4, 7.0, 7.0, 1, "fast", "hard", "f", False, True)], schema)

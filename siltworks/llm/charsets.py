@@ -141,9 +141,9 @@ class Mender:
 
     def __init__(self, learned: list[tuple[str, str]], chars: dict[str, int], duos: dict[str, int], leads: frozenset[str] = frozenset()) -> None:
         self.learned, self.chars, self.duos = learned, chars, duos
-        extra = [p for p in UNWITNESSED if p not in learned]
         self.wide, self.narrow = [p for p in learned if p[0] in WIDE], [p for p in learned if p[0] not in WIDE]
-        self.extra_wide, self.extra_narrow = [p for p in extra if p[0] in WIDE], [p for p in extra if p[0] not in WIDE]
+        self.plain = [p for p in self.narrow if p[1] != "utf-8"]  # no sequence of characters tells where these stand
+        self.extra_wide, self.extra_narrow = [p for p in UNWITNESSED if p[0] in WIDE], [p for p in UNWITNESSED if p[0] not in WIDE]
         self.leads = leads
         table = [(w, "".join(re.escape(bytes([x]).decode(w, "ignore") or chr(x)) for x in range(0xC2, 0xF5)), "".join(re.escape(bytes([x]).decode(w, "ignore") or chr(x)) for x in range(0x80, 0xC0))) for w, r in learned if r == "utf-8" and w not in WIDE]
         self.sequence = re.compile("|".join(f"[{a}][{b}]" for _, a, b in table) or "(?!)")
@@ -174,7 +174,7 @@ class Mender:
     def _run(self, r: str, inside: bool, depth: int = 0) -> str | None:
         wide = max(r) > "\u2fff" and not max(r) == LOST
         best, high, at = None, 0.0, None
-        witnessed = self.wide if wide else self.narrow if self.sequence.search(r) else ()
+        witnessed = self.wide if wide else self.narrow if self.sequence.search(r) else self.plain
         for w, right in witnessed:
             got = undo(r, w, right)
             if got is None:

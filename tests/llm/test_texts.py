@@ -111,6 +111,16 @@ def test_codec_steps():
     assert "Ã" in charsets.forward("í", "cp1252", "utf-8")
 
 
+def test_learned_decodings_need_no_utf8_sequence():
+    m = charsets.Mender([("mac_roman", "cp1252")], {"é": 1000, "È": 2}, {})
+    assert m.mend("un dÈbut") == (True, "un début", [])
+    text = "проверяет список"
+    chars = dict.fromkeys(set(text), 500)
+    garbled = text.encode("cp1251").decode("koi8_r")
+    for learned in ([], [("koi8_r", "cp1251")]):  # learning a decoding doesn't switch it off
+        assert charsets.Mender(learned, chars, {}).mend(garbled)[:2] == (True, text)
+
+
 SENT = ["The parser reads the buffer and writes the table.", "Each worker checks the queue before it closes the file.", "Later the scheduler moves the record to the archive."]
 
 

@@ -1,7 +1,8 @@
 """Problem 9: texts read in a wrong character encoding, and what they were before.
 
 Near-twins on text stripped of non-ASCII characters. The unit of the twin join is the word: of all words with the same
-ASCII skeleton ("pr\\0fung") the most frequent spelling is clean, the others may be garbled twins. Aligned run by run they
+ASCII skeleton ("pr\\0fung") the most frequent spelling is clean, the others may be garbled twins; where one of the others stands more than a
+fifth as often, either may be the clean one, and a decoding of utf-8 decides. Aligned run by run they
 give pairs (garbled, clean), and each pair votes for the wrong decodings that explain it. Decodings with enough votes are
 the learned mappings; together with those between scripts that no ASCII skeleton can witness (checked by the corpus's own
 character pairs) they are applied to every run of non-ASCII characters of every document. Where a decoding lost characters,
@@ -33,7 +34,6 @@ RIGHT = ("utf-8", "gb18030", "cp1251", "koi8_r", "cp1252", "cp866", "big5", "cp9
 #: Decodings between scripts without ASCII letters: no skeleton witnesses them, character pairs do.
 UNWITNESSED = tuple((w, r) for w, r in product(WRONG, RIGHT) if r in ("gb18030", "cp1251", "koi8_r", "big5", "cp932", "euc_kr", "cp866") and w in ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250")) + (("koi8_r", "cp1251"), ("cp1251", "koi8_r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("koi8_r", "utf-8"), ("cp866", "utf-8"), ("big5", "utf-8"), ("cp932", "utf-8"), ("euc_kr", "utf-8"), ("big5", "gb18030"), ("gb18030", "big5"))
 LOST = "�"
-PAIRS_KEPT = 60_000  # the most frequent character pairs and characters that workers hold
 #: Fixed list: words by which a text speaks of a garbled sequence as its subject.
 MENTION = re.compile(r"instead of|in place of|printed as|shown as|displayed as|rendered as|symptom|\bbytes?\b|page shows|belongs|mojibake|encoding|charset|replacement char|code ?point|statt|au lieu de|en lugar de|en vez de|вместо|代替|显示为|乱码", re.IGNORECASE)
 
@@ -126,11 +126,11 @@ def _votes(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """For each (garbled, clean) pair of words, the decodings that explain all runs that differ."""
     for f in frames:
         out = []
-        for word, clean in zip(f["word"], f["clean"], strict=True):
+        for word, clean, rare in zip(f["word"], f["clean"], f["rare"], strict=True):
             for x, y in zip(RUN.findall(word), RUN.findall(clean), strict=True):
                 if x == y:
                     continue
-                for w, r in product(WRONG, RIGHT):
+                for w, r in product(WRONG, RIGHT if rare else ("utf-8",)):
                     if w != r and undo(x, w, r) == y:
                         out.append((w, r, x, y))
         yield pd.DataFrame(out, columns=["wrong", "right", "garbled", "clean"])
@@ -282,31 +282,38 @@ class Mender:
 def learn(docs: DataFrame, clean_min: int = 3, votes_min: int = 2) -> tuple[list[tuple[str, str]], dict[str, int], dict[str, int], DataFrame]:
     """Learned decodings (wrong, right), best first; counts of characters and of pairs; twins (word, clean, explained).
 
-    The lists that come to the driver are bounded: decodings by the codec tables, counts by PAIRS_KEPT.
+    Decodings are bounded by the codec tables. Counts are whole: as many as there are characters and pairs in the corpus.
+    ``rare`` twins stand at most a fifth as often as the clean spelling; of the others single-byte decodings prove nothing,
+    as words of one language may differ by these, so only utf-8 explains them.
     """
     census = docs.where(F.col("text").rlike(r"[^\x00-\x7F]")).select("text").mapInArrow(_census, "kind string, a string, b string, n long")
     census = written(census.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")), "census")
     words = census.where("kind = 'w'")
     top = words.groupBy("a").agg(F.max_by("b", F.struct("n", "b")).alias("clean"), F.max("n").alias("most")).where(F.col("most") >= clean_min)
-    twins = words.join(top, "a").where("b <> clean and n * 5 <= most").select(F.col("b").alias("word"), "clean", "n")
+    both = words.join(top, "a").where("b <> clean").withColumn("rare", F.expr("n * 5 <= most"))
+    twins = both.select(F.col("b").alias("word"), "clean", "rare", F.col("most").alias("m"), F.lit(False).alias("turned"))
+    twins = twins.union(both.where(~F.col("rare") & (F.col("n") >= clean_min)).select(F.col("clean").alias("word"), F.col("b").alias("clean"), "rare", F.col("n").alias("m"), F.lit(True).alias("turned")))
     twins = cut(twins.repartition(F.xxhash64("word") % 64))
     votes = twins.mapInPandas(_votes, "wrong string, right string, garbled string, clean string")
     got = votes.groupBy("wrong", "right").agg(F.countDistinct("garbled", "clean").alias("n")).where(F.col("n") >= votes_min).collect()
     learned = [(r.wrong, r.right) for r in sorted(got, key=lambda r: (-r.n, r.wrong, r.right))]
-    counts = [{r.a: r.n for r in census.where(F.col("kind") == k).orderBy(F.desc("n"), "a").limit(PAIRS_KEPT).collect()} for k in ("c", "p")]
+    counts = [{r.a: r.n for r in census.where(F.col("kind") == k).select("a", "n").collect()} for k in ("c", "p")]
     return learned, counts[0], counts[1], twins
 
 
 def _explained(learned: list[tuple[str, str]]):  # noqa: ANN202
-    pairs = [p for p in learned if p[1] == "utf-8"] + [p for p in learned if p[1] != "utf-8"]
+    utf8 = [p for p in learned if p[1] == "utf-8"]
+    pairs = utf8 + [p for p in learned if p[1] != "utf-8"]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             ok = []
-            for word, clean in zip(f["word"], f["clean"], strict=True):
+            for word, clean, rare, turned in zip(f["word"], f["clean"], f["rare"], f["turned"], strict=True):
                 xs, ys = RUN.findall(word), RUN.findall(clean)
-                ok.append(all(x == y or LOST in x or any(undo(x, *p) == y or x in forward(y, *p) for p in pairs) for x, y in zip(xs, ys, strict=True)))
-            yield f[ok][["word", "clean"]]
+                use = pairs if rare else utf8
+                # losses turn dashes and dots into letters, so a more frequent spelling is lossy only if the other has letters
+                ok.append(all(x == y or (LOST in x and LOST not in y) or any(undo(x, *p) == y or (x in forward(y, *p) and (y.isalpha() or not turned)) for p in use) for x, y in zip(xs, ys, strict=True)))
+            yield f[ok][["word", "clean", "m"]]
 
     return run
 
@@ -320,7 +327,8 @@ def wrong_encoding(df: DataFrame) -> DataFrame:
     """
     docs = df.select("doc_id", "text")
     learned, chars, duos, twins = learn(docs)
-    known = cut(twins.select("word", "clean").mapInPandas(_explained(learned), "word string, clean string"))
+    known = twins.mapInPandas(_explained(learned), "word string, clean string, m long")
+    known = cut(known.groupBy("word").agg(F.max_by("clean", F.struct("m", "clean")).alias("clean")))
     spelt = known.select(F.explode(F.array_distinct(F.split(F.regexp_replace("word", r"[\x00-\x7F]", ""), ""))).alias("c")).distinct().collect()  # characters, so bounded
     leads = frozenset(r.c for r in spelt)
 

@@ -121,6 +121,25 @@ def test_learned_decodings_need_no_utf8_sequence():
         assert charsets.Mender(learned, chars, {}).mend(garbled)[:2] == (True, text)
 
 
+def test_lossy_twins_that_many_rows_hold(spark):
+    clean = clean_corpus()
+    texts = clean + [clean[i].encode("utf-8").decode("cp1252", "ignore") for i in (0, 1)]
+    first = len(texts)
+    texts += [f"El jardín {i}" for i in range(10)] + [f"Mi país {i}" for i in range(10)]
+    texts += [f"El jardÃn {i}" for i in range(5)] + [f"Mi paÃs {i}" for i in range(15)]  # a third and more than half
+    got = {r.doc_id: r.restored for r in charsets.wrong_encoding(docs(spark, texts)).collect()}
+    want = {first + 20 + i: f"El jardín {i}" for i in range(5)} | {first + 25 + i: f"Mi país {i}" for i in range(15)}
+    assert {k: v for k, v in got.items() if k >= first} == want and set(range(first - 2, first)) <= set(got)
+
+
+def test_statistics_of_all_pairs(spark):
+    rng = random.Random(4)
+    texts = ["".join(chr(0x4E00 + rng.randrange(600)) for _ in range(2000)) for _ in range(50)]
+    want = {a + b for t in texts for a, b in zip(t, t[1:])}
+    _, _, duos, _ = charsets.learn(docs(spark, texts))
+    assert len(want) > 80_000 and set(duos) == want
+
+
 SENT = ["The parser reads the buffer and writes the table.", "Each worker checks the queue before it closes the file.", "Later the scheduler moves the record to the archive."]
 
 

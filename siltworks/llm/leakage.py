@@ -103,13 +103,17 @@ def passages(hits: list[tuple[int, int]], gram: int = GRAM) -> list[tuple[int, i
 
 def coverage(hits: list[tuple[int, int]], n: int, gram: int = GRAM) -> float:
     """The share of an item's ``n`` tokens in the best passage, or in the best two near each other."""
-    found = sorted(passages(hits, gram), key=lambda c: -len(c[2]))[:12]
+    found = sorted(passages(hits, gram), key=lambda c: c[:2])
     best = max((len(c[2]) for c in found), default=0)
-    for i, a in enumerate(found):
-        for b in found[i + 1 :]:
-            gap = max(a[0], b[0]) - min(a[1], b[1])
-            if len(b[2]) >= max(6, 0.08 * n) and gap <= max(30, n // 2):
+    open_: list[tuple[int, int, set[int]]] = []  # those whose end is near enough to where the next one begins
+    for b in found:
+        if len(b[2]) < max(6, 0.08 * n):
+            continue
+        open_ = [a for a in open_ if b[0] - a[1] <= max(30, n // 2)]
+        for a in open_:
+            if len(a[2]) + len(b[2]) > best:
                 best = max(best, len(a[2] | b[2]))
+        open_.append(b)
     return min(1.0, best / max(n, 1))
 
 

@@ -77,6 +77,21 @@ def test_leaks_by_brute_force(spark):
     assert got - unsure == want
 
 
+def test_leaks_beside_a_repeated_fragment(spark):
+    """Two short passages near each other count, however many longer ones of one fragment stand elsewhere."""
+    rng = random.Random(5)
+    item = sentence(rng, 60).split()
+    other = lambda n: sentence(rng, n)
+    text = " ".join(" ".join(item[:14]) + " " + other(80) for _ in range(20)) + " " + " ".join(item[20:30]) + " " + other(8) + " " + " ".join(item[45:55])
+    got = leakage.leaks(docs(spark, [text]), spark.createDataFrame([(0, " ".join(item))], "item_id long, text string")).collect()
+    assert [(r.doc_id, r.item_id, round(r.share, 3)) for r in got] == [(0, 0, 0.333)]
+    for _ in range(200):  # as by trying all pairs
+        n, hits = 40, sorted({(p + rng.randrange(600) // 15 * 15, p % 40) for p in (rng.randrange(40) for _ in range(120))})
+        ps = leakage.passages(hits)
+        want = max(len(a[2] | b[2]) if a is b or (min(len(a[2]), len(b[2])) >= 6 and max(a[0], b[0]) - min(a[1], b[1]) <= 30) else 0 for a in ps for b in ps)
+        assert leakage.coverage(hits, n) == min(1.0, want / n)
+
+
 def test_unescape():
     assert leakage.plain('a\\nb \\u00e9 &quot;x&quot; \\ud800') == 'a b é "x"  ' and leakage.plain(None) == ""
 

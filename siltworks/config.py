@@ -24,7 +24,7 @@ TURN_SIGNAL = {"top": 5, "bottom": 3, "w_top": 0.70, "w_median": 0.20, "w_bottom
 KEEP_THRESHOLDS = (4.0, 5.0, 6.0, 7.0)
 LOW_CONFIDENCE = 0.60
 SPARSE = {"full_label_count": 8, "gap_multiplier": 1.3, "min_gap": 2, "max_gap": 8, "threshold": 12}
-PLANNER = {"threshold": 3.0, "min_segment": 2, "max_gap": 6}
+PLANNER = {"threshold": 3.0, "min_segment": 2, "max_gap": 6, "fallback_ratio": 1.0}
 SELECTIVE = {"min_turns": 8, "drift": 4}
 WINDOWS = {"longer_than": 50, "size": 50, "stride": 30, "prefix": 3}
 CLUSTER = {"dim": 384, "bits": 256, "seed": 42, "bands": 8, "radius": 64, "top_k": 32, "cosine": 0.82}

@@ -11,7 +11,7 @@ PANGU_COT = r"(?s)\[unused16\].*?\[unused17\]"
 PANGU_TOKENS = r"\[unused(?:9|1[0-7])\]"
 NO_THINK = r"\s*/no_think"
 THINK = r"(?s)<(?:think|thinking)>.*?</(?:think|thinking)>"
-TRAINING_TAGS = "solution tool_call tool_response issue patch code_change file_change original_code new_code bug_fixes tests diff hunk context change fix command output result reasoning response"
+TRAINING_TAGS = ("solution", "tool_call", "tool_response", "issue", "patch", "code_change", "file_change", "original_code", "new_code", "bug_fixes", "tests", "diff", "hunk", "context", "change", "fix", "command", "output", "result", "reasoning", "response")
 
 
 def role(c: Column) -> Column:
@@ -53,7 +53,7 @@ def strip_pangu(c: Column) -> Column:
 
 def sanitize(c: Column) -> Column:
     """Without training tags (their content stays) and fenced reasoning blocks."""
-    tags = "|".join(TRAINING_TAGS.split())
+    tags = "|".join(TRAINING_TAGS)
     return F.regexp_replace(F.regexp_replace(c, rf"(?i)</?(?:{tags})(?:\s[^>]*)?>", ""), r"(?is)```(?:COT|REASONING|THINKING)\b.*?```", "")
 
 

@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 
 from siltworks.config import COMBO_CAPS, INHERITED_LABEL_FACTOR, LABEL_CONFIDENCE_DEFAULT, LOW_CONFIDENCE, MULTI_DIMS, SINGLE_DIMS
 
+#: Tasks that fit the intents to build and to modify.
+BUILD_TASKS = ("feature-implementation", "configuration", "schema-design", "deployment", "api-design", "testing-task", "documentation", "logging", "monitoring")
+MODIFY_TASKS = ("code-refactoring", "code-optimization", "migration", "code-translation", "feature-implementation", "bug-fixing", "error-handling-task", "configuration", "documentation", "testing-task", "schema-design", "dependency-management")
+
 
 def as_arrays(labels: Column, dims: Sequence[str] = (*SINGLE_DIMS, *MULTI_DIMS)) -> Column:
     """Each dimension as an array of its non-empty tags, in order and with repeats; a null struct gives empty arrays."""
@@ -84,26 +88,24 @@ def consistency(labels: Column) -> Column:
     a = as_arrays(labels)
     intent, difficulty, context = (F.coalesce(labels.getField(d), F.lit("")) for d in SINGLE_DIMS)
 
-    def lacks(dim: str, tags: str) -> Column:
-        return ~F.arrays_overlap(a[dim], F.array(*[F.lit(t) for t in tags.split()]))
+    def lacks(dim: str, tags: Sequence[str]) -> Column:
+        return ~F.arrays_overlap(a[dim], F.array(*[F.lit(t) for t in tags]))
 
     def has(dim: str, tag: str) -> Column:
         return F.array_contains(a[dim], tag)
 
-    build = "feature-implementation configuration schema-design deployment api-design testing-task documentation logging monitoring"
-    modify = "code-refactoring code-optimization migration code-translation feature-implementation bug-fixing error-handling-task configuration documentation testing-task schema-design dependency-management"
     rules = {
         "learn-many-agentic": (intent == "learn") & (F.size(a["agentic"]) > 3),
-        "build-no-build-task": (intent == "build") & (F.size(a["task"]) > 0) & lacks("task", build),
+        "build-no-build-task": (intent == "build") & (F.size(a["task"]) > 0) & lacks("task", BUILD_TASKS),
         "beginner-many-concepts": (difficulty == "beginner") & (F.size(a["concept"]) > 3),
         "beginner-constraints": (difficulty == "beginner") & (F.size(a["constraint"]) > 0),
-        "debug-no-bug-fixing": (intent == "debug") & (F.size(a["task"]) > 0) & lacks("task", "bug-fixing"),
+        "debug-no-bug-fixing": (intent == "debug") & (F.size(a["task"]) > 0) & lacks("task", ("bug-fixing",)),
         "expert-no-concepts": (difficulty == "expert") & (F.size(a["concept"]) == 0),
         "translation-one-language": has("task", "code-translation") & (F.size(a["language"]) < 2),
         "ownership-no-rust": has("concept", "ownership") & ~has("language", "rust"),
         "snippet-multi-file": (context == "snippet") & has("agentic", "multi-file-coordination"),
-        "review-no-review-task": (intent == "review") & (F.size(a["task"]) > 0) & lacks("task", "code-review-task"),
-        "modify-no-modify-task": (intent == "modify") & (F.size(a["task"]) > 0) & lacks("task", modify),
+        "review-no-review-task": (intent == "review") & (F.size(a["task"]) > 0) & lacks("task", ("code-review-task",)),
+        "modify-no-modify-task": (intent == "modify") & (F.size(a["task"]) > 0) & lacks("task", MODIFY_TASKS),
     }
     return F.array_compact(F.array(*[F.when(c, F.lit(k)) for k, c in rules.items()]))
 

@@ -10,30 +10,33 @@ from pyspark.sql import functions as F
 
 from siltworks.functions.text import let, segments
 
-#: Fixed lists and patterns: markers by which a slice shows what stage of work it belongs to.
-SUMMARY = "## summary|summary|final review|changes made|what i implemented|implemented the requested|successfully implemented|here's a summary"
-ROOT_CAUSE = "root cause|caused by|this issue was caused|the bug was|the failure was due"
-FIX = "added|updated|changed|removed|fixed|implemented|refactored|renamed|patched|handled"
-VERIFICATION = "pytest|test|tests passed|verified|verification|regression|exit code: 0|all tests pass|passes now|confirmed"
+#: Markers by which a slice shows what stage of work it belongs to.
+SUMMARY = ("## summary", "summary", "final review", "changes made", "what i implemented", "implemented the requested", "successfully implemented", "here's a summary")
+ROOT_CAUSE = ("root cause", "caused by", "this issue was caused", "the bug was", "the failure was due")
+FIX = ("added", "updated", "changed", "removed", "fixed", "implemented", "refactored", "renamed", "patched", "handled")
+VERIFICATION = ("pytest", "test", "tests passed", "verified", "verification", "regression", "exit code: 0", "all tests pass", "passes now", "confirmed")
+#: Fixed patterns: file paths, symbols, tool calls, tool use that tells little.
 FILE_PATH = r"(?i)(?:(?:/workspace/)?[\w./-]+\.(?:py|pyi|js|jsx|ts|tsx|java|go|rs|sql|yml|yaml|json|toml|ini|cfg|c|cc|cpp|h|hpp|cs|rb|php|swift|kt|scala))"
 SYMBOL = r"(?i)`?[A-Za-z_][\w.]{2,}`?\s*(?:\(|class\b|def\b|method\b|function\b)"
 TOOL_CALL = r"(?i)<tool_call>|\"name\"\s*:\s*\"[^\"]+\""
 LOW_INFO = r"(?i)\b(view|grep|ls|find|pwd|tree|cat|head|tail|sed|awk|pip install|npm install|poetry install|pytest)\b"
-#: Fixed list: words that point to a domain.
+#: Words that point to a domain; those that make one of them sure.
 DOMAIN_HINTS = {
-    "compiler-development": "compiler|parser|lexer|token|ast|bytecode|transpile|transpilation|interpreter|macro|typecheck",
-    "machine-learning": "pytorch|tensorflow|torch|tensor|epoch_length|optimizer|training|inference|dataloader|gradient|loss",
-    "cloud-computing": "aws|gcp|azure|cloud storage|storage api|lambda|iam|bigquery|s3|gcs|pubsub",
-    "api-development": "api|endpoint|request|response|rest|graphql|dbapi|header",
-    "devops": "docker|kubernetes|helm|terraform|github actions|jenkins|ci|cd|deploy|build profile",
+    "compiler-development": ("compiler", "parser", "lexer", "token", "ast", "bytecode", "transpile", "transpilation", "interpreter", "macro", "typecheck"),
+    "machine-learning": ("pytorch", "tensorflow", "torch", "tensor", "epoch_length", "optimizer", "training", "inference", "dataloader", "gradient", "loss"),
+    "cloud-computing": ("aws", "gcp", "azure", "cloud storage", "storage api", "lambda", "iam", "bigquery", "s3", "gcs", "pubsub"),
+    "api-development": ("api", "endpoint", "request", "response", "rest", "graphql", "dbapi", "header"),
+    "devops": ("docker", "kubernetes", "helm", "terraform", "github actions", "jenkins", "ci", "cd", "deploy", "build profile"),
 }
-_API = "endpoint request response rest graphql dbapi".split()
-_CLOUD = ["bigquery", "storage api", "s3", "gcs", "lambda", "iam"]
+API_CONTEXT = ("endpoint", "request", "response", "rest", "graphql", "dbapi")
+CLOUD_SERVICES = ("bigquery", "storage api", "s3", "gcs", "lambda", "iam")
+#: Arguments by which a tool call locates its work.
+LOCATING_ARGUMENTS = ("command", "file", "file_path", "path", "q", "query", "target", "target_file", "uri", "url")
 
 
-def _hits(text: Column, words: str) -> Column:
+def _hits(text: Column, words: tuple[str, ...]) -> Column:
     low = F.lower(text)
-    return sum((F.contains(low, F.lit(w)).cast("int") for w in words.split("|")), F.lit(0))
+    return sum((F.contains(low, F.lit(w)).cast("int") for w in words), F.lit(0))
 
 
 def stage_features(ts: Column) -> Column:
@@ -65,11 +68,11 @@ def domain_backfill(ts: Column, domains: Column) -> Column:
         some = lambda ws: F.exists(F.array(*[F.lit(w) for w in ws]), lambda w: F.contains(text, w))
         scores = []
         for d, words in DOMAIN_HINTS.items():
-            n = sum((F.contains(text, F.lit(w)).cast("int") * (2 if len(w) > 6 else 1) for w in words.split("|")), F.lit(0))
+            n = sum((F.contains(text, F.lit(w)).cast("int") * (2 if len(w) > 6 else 1) for w in words), F.lit(0))
             if d == "api-development":
-                n = F.when(F.contains(text, F.lit("api")), F.when(some(_API), n + 1).otherwise(F.greatest(n - 1, F.lit(0)))).otherwise(n)
+                n = F.when(F.contains(text, F.lit("api")), F.when(some(API_CONTEXT), n + 1).otherwise(F.greatest(n - 1, F.lit(0)))).otherwise(n)
             if d == "cloud-computing":
-                n = n + F.when(some(_CLOUD), 2).otherwise(0)
+                n = n + F.when(some(CLOUD_SERVICES), 2).otherwise(0)
             scores.append(F.struct((-n).alias("n"), F.lit(d).alias("d")))
         return F.array_sort(F.array(*scores))
 
@@ -97,8 +100,7 @@ def tool_signature(payload: Column) -> Column:
     """``name:arguments`` of a tool call in JSON; the arguments that locate the work, or all if there are none of these."""
     name = F.coalesce(F.nullif(F.get_json_object(payload, "$.name"), F.lit("")), F.get_json_object(payload, "$.function.name"))
     args = F.coalesce(*[F.get_json_object(payload, f"$.{k}") for k in ("arguments", "parameters", "args")])
-    keys = sorted("command path file_path file target_file target uri url q query".split())
-    found = F.array_compact(F.array(*[F.when(F.get_json_object(args, f"$.{k}").isNotNull(), F.concat(F.lit(f'"{k}": '), F.to_json(F.array(F.get_json_object(args, f"$.{k}"))))) for k in keys]))
+    found = F.array_compact(F.array(*[F.when(F.get_json_object(args, f"$.{k}").isNotNull(), F.concat(F.lit(f'"{k}": '), F.to_json(F.array(F.get_json_object(args, f"$.{k}"))))) for k in LOCATING_ARGUMENTS]))
     return F.when(name.isNotNull() & (name != ""), F.concat(name, F.lit(":"), F.when(F.size(found) > 0, F.concat(F.lit("{"), F.array_join(found, ", "), F.lit("}"))).otherwise(F.coalesce(args, F.lit("{}")))))
 
 

@@ -31,6 +31,23 @@ def slices(df: DataFrame, id_col: str = "id", turns_col: str = "turns") -> DataF
     return out.select(*df.columns, sid.alias("slice_id"), (F.col("_i") + 1).alias("turn_index"), "total_turns", clean.alias("slice"), cot.alias("cot"))
 
 
+def current_turns(ts: Column) -> Column:
+    """Of each slice of a conversation only its own part: from the request that its reply answers to the reply, without
+    reasoning blocks. An array of slices, so the text before the request isn't repeated in every one."""
+    clean = F.transform(ts, lambda t: F.struct(t["from"].alias("from"), F.when(t["from"] == "gpt", strip_cot(t["value"])).otherwise(t["value"]).alias("value")))
+
+    def parts(x: Column) -> Column:
+        asked = F.filter(F.transform(x, lambda t, i: F.when(t["from"] == "human", i + 1)), lambda p: p.isNotNull())
+
+        def part(end: Column) -> Column:
+            ask = F.coalesce(F.array_max(F.filter(asked, lambda p: p < end)), F.greatest(end - 1, F.lit(1)))
+            return F.slice(x, ask, end - ask + 1)
+
+        return F.transform(reply_positions(x), part)
+
+    return let(clean, parts)
+
+
 def trajectory_object(ts: Column) -> Column:
     """Exactly one reply, at least five turns, at least two of them tool turns."""
     n = lambda r: F.size(F.filter(ts, lambda t: t["from"] == r))

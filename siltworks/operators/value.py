@@ -57,6 +57,11 @@ def stage_multiplier(st: Column, low_info: Column, evidence: Column, for_selecti
     return clamp(base, 0.5, 1.1)
 
 
+def stable_value(value: Column, multiplier: Column) -> Column:
+    """A value score times its stage's multiplier, within 1..10; null stays null."""
+    return clamp(value * multiplier)
+
+
 def anchors_distance(turn: Column, total: Column, drift: int = SELECTIVE["drift"]) -> Column:
     """Turns to the nearest anchor: the first, the last, and every ``drift``-th from the first."""
     back = (turn - 1) % drift

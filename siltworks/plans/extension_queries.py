@@ -8,11 +8,9 @@ from pyspark.sql import functions as F
 from siltworks.operators import extensions as E
 from siltworks.operators import labels as L
 from siltworks.operators import scorers as SC
-from siltworks.operators import value as V
 from siltworks.plans.base import TAGS, q6, r6, samples, turns
 from siltworks.plans.label_queries import _scored
 from siltworks.plans.registry import query
-from siltworks.plans.turn_queries import _slices
 
 
 def _long(spark: SparkSession, d: str) -> DataFrame:
@@ -52,16 +50,6 @@ def extension_validation(spark: SparkSession, d: str) -> DataFrame:
     return s.select("row_id", v["status"].alias("status"), v["labels"]["steps"].alias("known"), F.size(v["unmapped"]).alias("n_unmapped"))
 
 
-@query()
-def stage_features(spark: SparkSession, d: str) -> DataFrame:
-    f = _slices(spark, d).withColumn("f", SC.stage_features(F.col("slice"))).withColumn("position", F.col("turn_index") / F.col("total_turns"))
-    st = V.stage(F.col("position"), F.col("f.has_trajectory"), F.col("f.tool_density"), F.col("f.evidence"), F.col("f.low_info"), F.col("f.summary_hits"), F.col("f.verification_hits"))
-    return f.select("row_id", "turn_index", st.alias("stage"), "f.evidence", "f.low_info", "f.evidence_kinds")
-
-
-@query()
-def domain_backfill(spark: SparkSession, d: str) -> DataFrame:
-    return turns(spark, d).select("row_id", SC.domain_backfill(F.col("turns"), F.array().cast("array<string>")).alias("domain"))
 
 
 @query()

@@ -226,12 +226,10 @@ def _arr(d: str) -> str:
     return f"""coalesce(list_filter(labels."{d}", lambda x: x is not null and x <> ''), [])"""
 
 
-def _lacks(d: str, tags: str) -> str:
-    return f"not list_has_any({_arr(d)}, [{', '.join(repr(t) for t in tags.split())}])"
+def _lacks(d: str, *tags: str) -> str:
+    return f"not list_has_any({_arr(d)}, [{', '.join(repr(t) for t in tags)}])"
 
 
-_BUILD = "feature-implementation configuration schema-design deployment api-design testing-task documentation logging monitoring"
-_MODIFY = "code-refactoring code-optimization migration code-translation feature-implementation bug-fixing error-handling-task configuration documentation testing-task schema-design dependency-management"
 #: The tables' own words for the intents and difficulties that the rules speak of.
 _INTENTS, _LEVELS = {"make": "build", "mend": "debug", "ask": "learn", "judge": "review", "reshape": "modify"}, {"starter": "beginner", "deep": "expert"}
 
@@ -242,10 +240,10 @@ def _case(c: str, names: dict[str, str]) -> str:
 
 _I, _F, _C = _case("labels.intent", _INTENTS), _case("labels.difficulty", _LEVELS), "coalesce(labels.context, '')"
 _RULES = {
-    "learn-many-agentic": f"{_I} = 'learn' and len({_arr('agentic')}) > 3", "build-no-build-task": f"{_I} = 'build' and len({_arr('task')}) > 0 and {_lacks('task', _BUILD)}", "beginner-many-concepts": f"{_F} = 'beginner' and len({_arr('concept')}) > 3",
+    "learn-many-agentic": f"{_I} = 'learn' and len({_arr('agentic')}) > 3", "build-no-build-task": f"{_I} = 'build' and len({_arr('task')}) > 0 and {_lacks('task', *L.BUILD_TASKS)}", "beginner-many-concepts": f"{_F} = 'beginner' and len({_arr('concept')}) > 3",
     "beginner-constraints": f"{_F} = 'beginner' and len({_arr('constraint')}) > 0", "debug-no-bug-fixing": f"{_I} = 'debug' and len({_arr('task')}) > 0 and {_lacks('task', 'bug-fixing')}", "expert-no-concepts": f"{_F} = 'expert' and len({_arr('concept')}) = 0",
     "translation-one-language": f"list_contains({_arr('task')}, 'code-translation') and len({_arr('language')}) < 2", "ownership-no-rust": f"list_contains({_arr('concept')}, 'ownership') and not list_contains({_arr('language')}, 'rust')",
-    "snippet-multi-file": f"{_C} = 'snippet' and list_contains({_arr('agentic')}, 'multi-file-coordination')", "review-no-review-task": f"{_I} = 'review' and len({_arr('task')}) > 0 and {_lacks('task', 'code-review-task')}", "modify-no-modify-task": f"{_I} = 'modify' and len({_arr('task')}) > 0 and {_lacks('task', _MODIFY)}",
+    "snippet-multi-file": f"{_C} = 'snippet' and list_contains({_arr('agentic')}, 'multi-file-coordination')", "review-no-review-task": f"{_I} = 'review' and len({_arr('task')}) > 0 and {_lacks('task', 'code-review-task')}", "modify-no-modify-task": f"{_I} = 'modify' and len({_arr('task')}) > 0 and {_lacks('task', *L.MODIFY_TASKS)}",
 }
 
 

@@ -7,10 +7,7 @@ from pyspark.sql import functions as F
 
 from siltworks.functions import normalize as N
 from siltworks.functions import text as T
-from siltworks.functions.budgets import within_budget
-from siltworks.operators import planning as P
 from siltworks.operators import slicing as SL
-from siltworks.operators.inline import inherit
 from siltworks.operators.trajectory import structure
 from siltworks.plans.base import TURNS, q6, r6, turns
 from siltworks.plans.registry import query
@@ -75,7 +72,7 @@ def code_block_count(spark: SparkSession, d: str) -> DataFrame:
     return t.select("row_id", T.code_blocks(text).cast("long").alias("blocks"), tok.alias("tokens"))
 
 
-@query(f"with {TURNS}, t as (select value, pos, row_id from turns where role = 'human'), k as (select row_id, pos, unnest([{', '.join(f'[{g!r}, {w!r}]' for g, v in T.KEYWORDS.items() for w in v.split('|'))}]) as k, lower(value) as v from t) select k[1] as grp, k[2] as word, count(*) as n from k where contains(v, k[2]) group by all")
+@query(f"with {TURNS}, t as (select value, pos, row_id from turns where role = 'human'), k as (select row_id, pos, unnest([{', '.join(f'[{g!r}, {w!r}]' for g, v in T.KEYWORDS.items() for w in v)}]) as k, lower(value) as v from t) select k[1] as grp, k[2] as word, count(*) as n from k where contains(v, k[2]) group by all")
 def keyword_groups(spark: SparkSession, d: str) -> DataFrame:
     t = turns(spark, d).select(F.explode("turns").alias("t")).where("t.from = 'human'")
     e = t.select(F.explode(T.keyword_hits(F.col("t.value"))).alias("grp", "ws")).select("grp", F.explode("ws").alias("word"))
@@ -142,16 +139,6 @@ def turn_windows(spark: SparkSession, d: str) -> DataFrame:
     return w.select("row_id", "window_index", "total_windows", "turn_start", "turn_end", "prefix_turns", F.size("body").alias("n_body"), r6(T.snr(F.col("body"))).alias("snr"))
 
 
-@query()
-def segment_boundaries(spark: SparkSession, d: str) -> DataFrame:
-    b = P.boundaries(_slices(spark, d).where("total_turns > 1"), "row_id", ["turn_index"])
-    return b.select("row_id", "turn_index", r6(F.col("score")).alias("score"), "reasons", "boundary", "hard")
-
-
-@query()
-def planner_anchors(spark: SparkSession, d: str) -> DataFrame:
-    b = P.boundaries(_slices(spark, d).where("total_turns > 1"), "row_id", ["turn_index"]).withColumn("ck", F.col("row_id").cast("string"))
-    return P.planner(b, "ck", ["turn_index"])
 
 
 @query()
@@ -169,18 +156,3 @@ def stratified_sample_rows(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def structure_signals(spark: SparkSession, d: str) -> DataFrame:
     return turns(spark, d).select("row_id", structure(F.col("turns")).alias("s")).select("row_id", "s.*")
-
-
-@query()
-def labeling_budget(spark: SparkSession, d: str) -> DataFrame:
-    """Conversations within 3000 characters for a labeler."""
-    b = within_budget(turns(spark, d), "row_id", budget=3000)
-    return b.select("row_id", "truncated", F.size("turns").alias("n_turns"), F.aggregate("turns", F.lit(0), lambda a, t: a + F.length(t["value"])).alias("chars"))
-
-
-@query()
-def inherited_labels(spark: SparkSession, d: str) -> DataFrame:
-    """Labels of planned slices passed on to the others."""
-    s = P.inheritance(_slices(spark, d).where("total_turns > 1").select("row_id", "turn_index"), "row_id", ["turn_index"], full_label_count=2, threshold=2, min_gap=2)
-    s = s.withColumn("intent", F.when(F.col("labelled"), F.concat(F.lit("i"), F.col("pos").cast("string"))))
-    return inherit(s.select("row_id", "pos", "source_pos", "intent"), "row_id", "pos", "source_pos", ["intent"])

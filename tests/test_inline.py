@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from siltworks.functions.budgets import shorten, within, within_budget
+from siltworks.functions.budgets import within_budget, within_scoring
 from siltworks.operators import extensions as E
 from siltworks.operators import inline as I
 from siltworks.operators.trajectory import structure
@@ -16,14 +16,35 @@ def test_fold_replaces_by_turn(spark):
     assert out.select(F.explode(I.without_scores(F.col("label_turns"))).alias("t")).where("t.value_score is not null").count() == 0
 
 
+def budgeted(spark, turns, budget):
+    df = spark.createDataFrame([(1, turns)], "k int, turns array<struct<from:string,value:string>>")
+    r = within_budget(df, "k", budget=budget).first()
+    return [(t["from"], t["value"]) for t in r.turns], r.truncated
+
+
 def test_budget(spark):
-    assert shorten("a" * 500, 500) == "a" * 500 and len(shorten("a" * 5000, 1000)) <= 1000
-    turns = [("human", "h" * 900), *[("gpt" if i % 2 else "tool", "m" * 700) for i in range(8)], ("gpt", "z" * 900)]
-    out = within(turns, 3000)
-    assert sum(len(v) for _, v in out) < 3300 and out[0][1][0] == "h" and out[-1][1][-1] == "z" and "omitted" in out[1][1]
-    assert within(turns, 10**6) is turns and within([("system", "s" * 99), ("human", "q")], 50) == [("system", "s" * 50)]
-    df = spark.createDataFrame([(1, [("human", "q")]), (2, None)], "k int, turns array<struct<from:string,value:string>>")
-    assert {(r.k, r.truncated) for r in within_budget(df, "k").collect()} == {(1, False), (2, False)}
+    turns = [("human", "h" * 900), *[("gpt" if i % 2 else "tool", f"{i}" * 700) for i in range(8)], ("gpt", "z" * 900)]
+    out, cut = budgeted(spark, turns, 3000)
+    assert cut and sum(len(v) for _, v in out) < 3300 and out[0][1][0] == "h" and out[-1] == ("gpt", "z" * 900) and out[1] == ("system", "[... 7 middle turns omitted for labeling ...]") and out[2] == ("gpt", "7" * 700)
+    assert budgeted(spark, turns, 10**6) == (turns, False)
+    assert budgeted(spark, [("system", "s" * 99), ("human", "q")], 50) == ([("system", "s" * 50)], True)
+    one, _ = budgeted(spark, [("human", "a" * 5000)], 1000)
+    assert len(one) == 1 and len(one[0][1]) == 1000
+    two, _ = budgeted(spark, [("human", "a" * 5000), ("gpt", "b" * 5000)], 2000)
+    assert [len(v) for _, v in two] == [800, 1200]
+    marked, cut = budgeted(spark, [("human", "<issue>" * 50 + "q</issue>"), ("gpt", "a")], 60)
+    assert marked == [("human", "q"), ("gpt", "a")] and not cut  # marks go before anything is measured
+    assert budgeted(spark, [("human", None)], 10) == ([("human", "")], False) and budgeted(spark, None, 10) == ([], False) and budgeted(spark, [], 10) == ([], False)
+
+
+def test_scoring_budget(spark):
+    ts = [("human", "p" * 3000), ("gpt", "e" * 3000), ("human", "q" * 3000), ("tool", "t" * 3000), ("gpt", "r" * 3000)]
+    df = spark.createDataFrame([(1, ts, "slow", "c" * 9000), (2, ts, "fast", None), (3, ts[2:3] + [("gpt", "r")], "slow", "c"), (4, [], "fast", "")], "k int, ts array<struct<from:string,value:string>>, mode string, cot string")
+    got = {r.k: r.s for r in df.select("k", within_scoring(F.col("ts"), F.col("mode"), F.col("cot"), 8000).alias("s")).collect()}
+    size = lambda s: sum(len(s[k] or "") for k in ("prior", "request", "trajectory", "cot", "response"))
+    assert got[1].truncated and size(got[1]) <= 7600 and len(got[1].cot) <= 3420 and len(got[1].request) == 1140 and got[1].cot_chars == 9000
+    assert got[2].truncated and got[2].cot is None and size(got[2]) <= 7600 and got[2].response.endswith("r")
+    assert not got[3].truncated and (got[3].request, got[3].cot, got[3].response) == ("q" * 3000, "c", "r") and size(got[4]) == 0
 
 
 def test_inherit_and_plan(spark):

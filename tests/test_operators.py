@@ -1,5 +1,6 @@
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -81,16 +82,39 @@ def test_whole_rows_limit_keeps_an_oversized_first_row(spark):
     assert [r.i for r in SL.whole_rows_limit(df, 5, ["i"]).collect()] == [1]
 
 
-def test_sparse_schedule():
-    assert P.sparse_positions(0) == [] and P.sparse_positions(12) == list(range(12))
-    got = P.sparse_positions(60)
-    assert got[:8] == list(range(8)) and got[-1] == 59 and max(b - a for a, b in zip(got, got[1:], strict=False)) <= 8
+def test_sparse_schedule(spark):
+    def places(n, **params):
+        return [r.id for r in spark.range(n).where(P.scheduled(F.col("id"), F.lit(n), **params)).orderBy("id").collect()]
 
+    assert places(0) == [] and places(12) == list(range(12))
+    assert places(60) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 13, 17, 22, 29, 37, 45, 53, 59]
+    assert places(20, full_label_count=3, threshold=2, min_gap=1, max_gap=5, gap_multiplier=1.0) == list(range(20))
 
-def test_segments_merge_and_anchors():
-    plan = P.segment_plan([False, True, False, False, True, False])
-    assert [k for k, _, _ in plan] == [0, 0, 0, 0, 1, 1] and plan[0][2] == "segment_start" and plan[-1] == (1, True, "segment_end")
-    assert P.segment_plan([]) == []
+
+def test_segments_merge_and_anchors(spark):
+    def plan(*flags, **params):
+        b = [(0.0, [], bool(x), False) for x in flags]
+        df = spark.createDataFrame([(b,)], "b array<struct<score:double,reasons:array<string>,boundary:boolean,hard:boolean>>")
+        return df.select(P.segment_plan(F.col("b"), **params).alias("p")).first().p
+
+    p = plan(0, 1, 0, 0, 1, 0)
+    assert [x.segment for x in p] == [0, 0, 0, 0, 1, 1] and p[0].why == "segment_start" and (p[-1].segment, p[-1].anchor, p[-1].why) == (1, True, "segment_end")
+    assert [x.segment for x in plan(0, 0, 0, 1, 1, 0)] == [0, 0, 0, 0, 1, 1] and plan() == []
+    long = plan(*[0] * 9)
+    assert [x.anchor for x in long] == [i in (0, 4, 8) for i in range(9)] and [x.distance for x in long] == [0, 1, 2, 1, 0, 1, 2, 1, 0]
+    dense = plan(0, 1, 1, 1, 1, 1, 1, 1, 0, fallback_ratio=0.5)
+    assert all(x.fallback and x.segment == 0 and x.confidence == 0 for x in dense) and [x.anchor for x in dense] == [True, *[False] * 7, True]
+    assert not plan(0, 1, 1, 1, 1, 1, 1, fallback_ratio=0.5)[0].fallback  # fewer than eight slices
+
+
+def test_label_plan_takes_the_smaller_one(spark):
+    rows = [("a", i, False, 0 if i < 10 else 1, i in (0, 9, 10, 19), False) for i in range(20)] + [("b", i, False, i, True, False) for i in range(20)] + [("c", i, False, 0, i in (0, 19), True) for i in range(20)] + [("d", 0, False, 0, True, False)]
+    df = spark.createDataFrame(rows, "k string, i int, hard boolean, segment int, anchor boolean, fallback boolean")
+    got = {}
+    for r in P.label_plan(df, "k", ["i"]).orderBy("k", "i").collect():
+        got.setdefault(r.k, []).append(r)
+    assert {k: v[0].policy for k, v in got.items()} == {"a": "anchors", "b": "schedule", "c": "schedule", "d": "schedule"}
+    assert [r.i for r in got["a"] if r.labelled] == [0, 9, 10, 19] and got["a"][8].source_pos == 9 and got["a"][11].source_pos == 19 and got["d"][0].labelled
 
 
 def test_inheritance_stops_at_hard_edges(spark):
@@ -162,7 +186,11 @@ def test_text_functions(spark):
     assert one(spark, T.code_blocks(t), t="```a``` ```") == 1
     assert one(spark, T.truncate(t, 400), t="x" * 400) == "x" * 400 and len(one(spark, T.truncate(t, 400), t="x" * 4000)) <= 400
     assert one(spark, T.char_ngrams(t), t="ab") == ["ab"] and one(spark, T.char_ngrams(t), t=" ") == []
-    assert len(T.fragments("y" * 9000, 2000)) <= 2000 and T.fragments("ab", 5) == "ab"
+    text = "".join(f"{i:05d}" for i in range(1800))
+    cut = one(spark, T.fragments(t, 2000), t=text)
+    gaps = re.findall(r"\n\[\.\.\. (\d+) chars omitted", cut)
+    assert len(cut) <= 2000 and len(gaps) == 4 and one(spark, T.fragments(t, 5), t="ab") == "ab" and cut.startswith(text[:500]) and cut.endswith(text[-500:])
+    assert len(re.sub(r"\n\[\.\.\. [^\]]*\]\n", "", cut)) + sum(map(int, gaps)) == len(text)  # nothing but what the notes say is gone
     assert one(spark, T.language_mix(t)["dominant"], t="中文 abc") == "mixed"
 
 

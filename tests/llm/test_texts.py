@@ -208,9 +208,43 @@ def test_classifier_on_held_out_defects():
     nouns = "table buffer worker file queue record archive parser module index".split()
     make = lambda: f"The {rng.choice(nouns)} reads the {rng.choice(nouns)} when each {rng.choice(nouns)} is in the {rng.choice(nouns)}."
     pairs = [("How do I move the " + rng.choice(nouns) + " to the " + rng.choice(nouns) + " if it is full?", " ".join(make() for _ in range(4))) for _ in range(150)]
-    model = replies.train(pairs[:100])
-    examples, y = replies.synthesise(pairs[100:], seed=9)
-    s = model.scores(examples) > model.at
-    for k, name in enumerate(("copy", "refusal")):
+    pairs = [(q, a, None) for q, a in pairs]
+    languages = replies.Languages([q for q, _, _ in pairs[:100]], [a for _, a, _ in pairs[:100]])
+    model = replies.train(pairs[:100], replies.cuts(pairs[:100]), languages)
+    examples, y, _ = replies.synthesise(pairs[100:], languages, seed=9)
+    s = model.scores(examples) > 0
+    for name in ("empty", "copy", "refusal"):
+        k = replies.LABELS.index(name)
         hit = (s[:, k] & (y[:, k] > 0)).sum()
         assert hit >= 0.95 * y[:, k].sum() and hit >= 0.95 * s[:, k].sum(), name
+
+
+def test_languages_are_learnt():
+    rng = random.Random(8)
+    words = {
+        "en": "the parser reads each record and writes it to the table while a worker waits for the queue".split(), "de": "der Dienst liest jeden Eintrag und schreibt ihn in die Tabelle während ein Prozess auf die Schlange wartet".split(),
+        "fr": "le service lit chaque ligne puis écrit dans la table pendant que le processus attend une réponse".split(), "ru": "служба читает каждую запись и пишет её в таблицу пока процесс ждёт очередь".split(),
+    }
+    make = lambda k: " ".join(rng.choice(words[k]) for _ in range(25))
+    of = [k for k in words for _ in range(60)]
+    texts = [(make(k), make(k)) for k in of]
+    lang = replies.Languages([q for q, _ in texts], [a for _, a in texts], k=8)
+    new = [k for k in words for _ in range(20)]
+    q, a = lang.of([make(k) for k in new]), lang.of([make(k) for k in new])
+    same = lang.together[q[:, None], a[None, :]] > 0
+    want = [[x == y for y in new] for x in new]
+    assert (same == want).mean() > 0.97 and lang.of(["", "12 34", "ok"]).tolist() == [-1, -1, -1]
+
+
+def test_evidence_of_early_stops(spark):
+    """Which evidence decides, and that a hot last word or a field limit is no obstacle."""
+    rng = random.Random(4)
+    make = lambda: " ".join(rng.choice(SENT) for _ in range(12))
+    whole = [conv(("gpt", make()), i=i) for i in range(200)]
+    at_limit = [conv(("gpt", make()[:300]), i=1000 + i, src="cutter") for i in range(40)]
+    hot = [conv(("gpt", SENT[0] + " Each worker checks the que"), i=2000 + i) for i in range(150)]
+    spaces = [conv(("gpt", SENT[0] + " Each worker checks"), i=3000), conv(("gpt", SENT[0] + " Each worker (that"), i=3001), conv(("gpt", "```py\nx = 1"), i=3002)]
+    got = {r.row_id: r.evidence for r in truncation.stops(spark.createDataFrame(whole + at_limit + hot + spaces, CONV)).collect()}
+    assert not any(i < 1000 for i in got) and all(got[2000 + i] == "prefix" for i in range(150)) and got[3000] in ("sentence", "word") and got[3002] == "open"
+    ends = {1000 + i for i in range(40) if at_limit[i][1][0][1].rstrip()[-1] != "."}
+    assert ends <= set(got) and {got[i] for i in ends} <= {"prefix", "limit"}

@@ -38,26 +38,30 @@ def _item(field: str):  # noqa: ANN202
     return lambda t: F.concat(F.lit(field + ":"), t)
 
 
-def _pair_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by pair of this task's baskets, flushed at CHUNK distinct pairs, within one long basket too."""
-    counts: dict[tuple[str, str], int] = {}
-
-    def flush() -> pa.RecordBatch:
-        keys = list(counts)
-        out = pa.RecordBatch.from_pydict({"item_a": pa.array([a for a, _ in keys], pa.string()), "item_b": pa.array([b for _, b in keys], pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
-        counts.clear()
-        return out
-
-    for batch in batches:
-        for items in batch.column(0).to_pylist():
-            items = sorted(items)
-            for i, a in enumerate(items):
-                for b in items[i + 1 :]:
-                    counts[a, b] = counts.get((a, b), 0) + 1
-                if len(counts) >= CHUNK:
-                    yield flush()
-    if counts:
-        yield flush()
+def _pair_counts(kept: frozenset[str] | None = None):  # noqa: ANN202
+    """Counts by pair of a task's baskets, of the items ``kept`` (None: all), flushed at CHUNK distinct pairs, within one long basket too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: dict[tuple[str, str], int] = {}
+
+        def flush() -> pa.RecordBatch:
+            keys = list(counts)
+            out = pa.RecordBatch.from_pydict({"item_a": pa.array([a for a, _ in keys], pa.string()), "item_b": pa.array([b for _, b in keys], pa.string()), "n": pa.array(list(counts.values()), pa.int64())})
+            counts.clear()
+            return out
+
+        for batch in batches:
+            for items in batch.column(0).to_pylist():
+                items = sorted(items if kept is None else kept.intersection(items))
+                for i, a in enumerate(items):
+                    for b in items[i + 1 :]:
+                        counts[a, b] = counts.get((a, b), 0) + 1
+                    if len(counts) >= CHUNK:
+                        yield flush()
+        if counts:
+            yield flush()
+
+    return run
 
 
 def fit(item_n: np.ndarray, item_m: np.ndarray, size: np.ndarray, size_m: np.ndarray, rounds: int = 2000, tol: float = 1e-10) -> tuple[np.ndarray, np.ndarray]:
@@ -109,7 +113,8 @@ def co_occurrence(df: DataFrame, min_count: int = 1, min_per_mille: int = 0) ->
     n_ab * 1000 >= min_per_mille * n; item_a is the smaller.
 
     Items too rare for a wanted pair are left out before pairs are formed (a pair is never more frequent than its items),
-    so nothing wanted is lost. n counts all records. q-values hold over the pairs returned. Empty tables give no rows.
+    so nothing wanted is lost. n counts all records. q-values hold over all pairs of the items that are frequent enough for a
+    wanted pair, those that never meet included (their p is 1). Empty tables give no rows.
     """
     spark = df.sparkSession
     b = written(baskets(df), "baskets")
@@ -118,10 +123,9 @@ def co_occurrence(df: DataFrame, min_count: int = 1, min_per_mille: int = 0) ->
     items = b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("m")).where(F.col("m") >= least)
     items = written(items, "items")
     pruned = b.where(F.size("items") >= 2)
-    if least > 1:
-        few = pruned.withColumn("rid", F.monotonically_increasing_id()).select("rid", F.explode("items").alias("item")).join(items, "item").groupBy("rid").agg(F.collect_list("item").alias("items"))  # a record's own tags
-        pruned = few.where(F.size("items") >= 2).select("items")
-    counted = pruned.mapInArrow(_pair_counts, "item_a string, item_b string, n long").groupBy("item_a", "item_b").agg(F.sum("n").alias("n_ab")).where(F.col("n_ab") >= least)
+    # with a least share there are few such items, at most 1000 / min_per_mille times a basket's mean size, so each task can hold them
+    kept = frozenset(r.item for r in items.select("item").collect()) if min_per_mille else None
+    counted = pruned.mapInArrow(_pair_counts(kept), "item_a string, item_b string, n long").groupBy("item_a", "item_b").agg(F.sum("n").alias("n_ab")).where(F.col("n_ab") >= least)
     counted = counted.join(items.select(F.col("item").alias("item_a"), F.col("m").alias("n_a")), "item_a").join(items.select(F.col("item").alias("item_b"), F.col("m").alias("n_b")), "item_b")
     # classes: basket sizes and item frequencies, the latter in steps of 0.1 %, so both lists stay small at any size
     all_items = b.select(F.explode("items").alias("item")).groupBy("item").agg(F.count("*").alias("m"))
@@ -156,7 +160,9 @@ def co_occurrence(df: DataFrame, min_count: int = 1, min_per_mille: int = 0) ->
     tested = written(counted.select("item_a", "item_b", "n_ab", "n_a", "n_b").mapInPandas(tails, cols + ", expected double, p_value double"), "tested")
     # Benjamini-Hochberg by bins of p, each bin at its upper edge: at most 300 * BIN bins, however many pairs
     bins = tested.groupBy(F.floor(-F.log10("p_value") * BIN).cast("int").alias("bin")).count().toPandas().sort_values("bin", ascending=False)
-    rank, total = bins["count"].cumsum().to_numpy(float), float(bins["count"].sum())
+    rank = bins["count"].cumsum().to_numpy(float)
+    few = items.count()
+    total = few * (few - 1) / 2  # every pair that could have met is tested
     q = np.minimum.accumulate((10.0 ** (-bins["bin"].to_numpy(float) / BIN) * total / np.maximum(rank, 1))[::-1])[::-1] if len(bins) else np.array([])
     qs = spark.createDataFrame([(int(i), float(min(1, v))) for i, v in zip(bins["bin"], q, strict=True)], "bin int, q_value double")
     out = tested.withColumn("bin", F.floor(-F.log10("p_value") * BIN).cast("int")).join(F.broadcast(qs), "bin")
@@ -164,6 +170,14 @@ def co_occurrence(df: DataFrame, min_count: int = 1, min_per_mille: int = 0) ->
 
 
 def surprising(df: DataFrame, min_count: int = 5, min_per_mille: int = 1, lift: int = 3) -> DataFrame:
-    """The pairs of :func:`co_occurrence` with n_ab * n >= lift * n_a * n_b (in whole numbers)."""
+    """The pairs of :func:`co_occurrence` more frequent than the fitted null expects, with n_ab * n >= lift * n_a * n_b (in whole numbers).
+
+    The case is fixed by counts and lift, so after the null the exact check decides; q_value tells how sure the surprise is."""
     d = "decimal(38,0)"
-    return co_occurrence(df, min_count, min_per_mille).where(F.col("n_ab").cast(d) * F.col("n").cast(d) >= F.lit(lift).cast(d) * F.col("n_a").cast(d) * F.col("n_b").cast(d))
+    over = co_occurrence(df, min_count, min_per_mille).where(F.col("n_ab") > F.col("expected"))
+    return over.where(F.col("n_ab").cast(d) * F.col("n").cast(d) >= F.lit(lift).cast(d) * F.col("n_a").cast(d) * F.col("n_b").cast(d))
+
+
+def significant(df: DataFrame, q: float = 0.05) -> DataFrame:
+    """The pairs of :func:`co_occurrence` that the fitted null doesn't explain at a false-discovery rate of ``q``, of all pairs tested."""
+    return co_occurrence(df).where((F.col("q_value") <= q) & (F.col("n_ab") > F.col("expected")))

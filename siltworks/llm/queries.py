@@ -35,6 +35,10 @@ def p3_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.co_occurrence(table(spark, sf_dir, "smoke_test_value"))
 
 
+def p3_surprising(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pairs.significant(table(spark, sf_dir, "smoke_test_value")).select("item_a", "item_b", "n_ab", "expected", "lift", "p_value", "q_value")
+
+
 def p3_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p3_pairs(spark, sf_dir).select("item_a", "item_b", "n", "n_a", "n_b", "n_ab")
 
@@ -81,7 +85,7 @@ def p9_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_counts, p4_found, p5_found, p5_sources, p6_found, p6_kept, p7_ids, p8_found, p8_leaks, p9_found, p9_restored)
+    f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_tags, p3_found, p3_pairs, p3_surprising, p3_counts, p4_found, p5_found, p5_sources, p6_found, p6_kept, p7_ids, p8_found, p8_leaks, p9_found, p9_restored)
 }
 
 _LATEST = """one as (select row_id, labels from (select *, row_number() over (partition by coalesce('i' || id, 'r' || row_id)

@@ -70,11 +70,6 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 PARTIAL = "field string, tag string, h long, n_occ long, n_rec long"
 
 
-def _radix(level: int) -> F.Column:
-    """The bits of ``h`` (60 in use) that part level ``level``."""
-    return F.shiftrightunsigned("h", 60 - BITS * (level + 1)).bitwiseAND(2**BITS - 1)
-
-
 def _sizes(spark, path: str) -> dict[int, int]:  # noqa: ANN001
     """Bytes of each radix folder under ``path``, from the file system's listing."""
     jvm = spark.sparkContext._jvm
@@ -102,6 +97,8 @@ def _leaf(frames: Iterator[pd.DataFrame], memory: str) -> Iterator[pd.DataFrame]
             con.execute(f"set memory_limit='{memory}'; set threads=1; set preserve_insertion_order=false")
             if isinstance(where, pafs.LocalFileSystem):  # spill beside the leaf, in the shared folder
                 con.execute(f"set temp_directory='{os.path.join(os.path.dirname(inner.rstrip('/')), 'spill-' + uuid.uuid4().hex)}'")
+            else:  # a leaf on a remote file system is small enough for memory (leaf_bytes), so nothing spills to a local disk
+                con.execute("set temp_directory=''")
             terms = ds.dataset(inner, filesystem=where, format="parquet", exclude_invalid_files=False).scanner(columns=["field", "tag", "n_occ", "n_rec"], batch_size=65536).to_reader()  # noqa: F841
             got = con.execute("select field, tag, sum(n_occ)::bigint as n_occ, sum(n_rec)::bigint as n_rec from terms group by all")
             while len(part := got.fetch_df_chunk(32)):
@@ -112,18 +109,19 @@ def _leaf(frames: Iterator[pd.DataFrame], memory: str) -> Iterator[pd.DataFrame]
 def term_counts(partial: DataFrame, leaf_bytes: int = 256 << 20, memory: str = "512MB") -> DataFrame:
     """``(field, tag, n_occ, n_rec)`` from partial counts (field, tag, h, n_occ, n_rec), by recursive radix spilling."""
     spark = partial.sparkSession
-    leaves: list[tuple[str]] = []
-    todo = [(partial, 0)]
-    while todo:
-        df, level = todo.pop()
+    leaves: list = []
+    todo, level = partial, 0
+    while todo is not None:  # one write a level, whatever number of partitions is split
         path = scratch(spark, f"radix{level}")
-        df.withColumn("radix", _radix(level)).write.option("compression", "zstd").partitionBy("radix").parquet(path)
+        shown = todo.withColumn("radix", F.shiftrightunsigned("h", 60 - BITS * (level + 1)))  # all bits so far, so that parts of several partitions stay apart
+        shown.write.option("compression", "zstd").partitionBy("radix").parquet(path)
+        large = []
         for part, size in _sizes(spark, path).items():
             at = f"{path}/radix={part}"
-            if size > leaf_bytes and BITS * (level + 2) <= 60:
-                todo.append((spark.read.schema(PARTIAL).parquet(at), level + 1))
-            else:
-                leaves.append((at,))
+            (large if size > leaf_bytes and BITS * (level + 2) <= 60 else leaves).append(at)
+        level += 1
+        todo = spark.read.schema(PARTIAL).parquet(*large) if large else None
+    leaves = [(p,) for p in leaves]
     if not leaves:
         return spark.createDataFrame([], "field string, tag string, n_occ long, n_rec long")
     tasks = spark.createDataFrame(leaves, "path string").repartitionByRange(len(leaves), "path")

@@ -163,6 +163,14 @@ def test_pairs(spark):
     got = pairs.co_occurrence(labelled(spark, rows)).collect()
     assert {(r.item_a, r.item_b): (r.n_ab, r.n_a, r.n_b, r.n) for r in got} == {p: (n, single[p[0]], single[p[1]], len(rows)) for p, n in want.items()}
     assert all(0 < r.p_value <= 1 and r.p_value <= r.q_value * 1.03 <= 1.03 for r in got)
+    tests = len(single) * (len(single) - 1) // 2
+    ps, best_q = sorted(r.p_value for r in got), {}
+    low = 1.0
+    for i in range(len(ps) - 1, -1, -1):  # Benjamini-Hochberg over all pairs of items, those that never meet having p = 1
+        low = best_q[ps[i]] = min(low, ps[i] * tests / (i + 1))
+    assert all(r.q_value == pytest.approx(best_q[r.p_value], rel=0.05) for r in got)
+    sig = {(r.item_a, r.item_b) for r in pairs.significant(labelled(spark, rows)).collect()}
+    assert sig == {(r.item_a, r.item_b) for r in got if r.q_value <= 0.05 and r.n_ab > r.expected} and {("agentic:z", "concept:r1"), ("concept:r1", "concept:r2")} <= sig
     best = min(got, key=lambda r: r.p_value)
     assert {best.item_a, best.item_b} <= {"concept:r1", "concept:r2", "agentic:z"}
     sur = {(r.item_a, r.item_b) for r in pairs.surprising(labelled(spark, rows)).collect()}

@@ -92,6 +92,41 @@ def test_leaks_beside_a_repeated_fragment(spark):
         assert leakage.coverage(hits, n) == min(1.0, want / n)
 
 
+def test_leaks_of_short_items_and_in_blocks(spark, monkeypatch):
+    rng = random.Random(7)
+    items = ["red green blue", "omega", "sigma tau", "中文", sentence(rng, 40)]
+    texts = ["they are red, green and blue", "first Red GREEN blue last", "red green", "an omega here", "omegas", "sigma", "tau sigma tau", "写中文的人", "中 文", sentence(rng, 20) + " " + items[4], None]
+    ev = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    want = {(1, 0), (3, 1), (6, 2), (7, 3), (8, 3), (9, 4)}
+    run = lambda: {(r.doc_id, r.item_id) for r in leakage.leaks(docs(spark, texts), ev).collect()}
+    assert run() == want
+    monkeypatch.setattr(leakage, "BLOCK_TERMS", 12)
+    assert run() == want
+
+
+def test_leaks_near_the_threshold(spark):
+    """Passages of about a third of an item with words changed: as found by chaining all hits of all pairs, without a candidate step."""
+    rng = random.Random(9)
+    items = [sentence(rng, rng.choice([40, 80, 160])) for _ in range(8)]
+    texts = []
+    for _ in range(150):
+        w = rng.choice(items).split()
+        n = int(len(w) * rng.uniform(0.2, 0.6))
+        a = rng.randrange(len(w) - n)
+        part = [rng.choice(["new", "odd"]) if rng.random() < 0.06 else x for x in w[a : a + n]]
+        texts.append(sentence(rng, 20) + " " + " ".join(part) + " " + sentence(rng, 20))
+    grams = lambda t: [tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)]
+    want = set()
+    for d, t in enumerate(texts):
+        g = grams(t)
+        for i, x in enumerate(items):
+            hits = [(p, j) for j, y in enumerate(grams(x)) for p, z in enumerate(g) if y == z]
+            if leakage.coverage(hits, len(x.split())) >= leakage.SHARE:
+                want.add((d, i))
+    got = {(r.doc_id, r.item_id) for r in leakage.leaks(docs(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string")).collect()}
+    assert len(want) > 60 and got == want
+
+
 def test_unescape():
     assert leakage.plain('a\\nb \\u00e9 &quot;x&quot; \\ud800') == 'a b é "x"  ' and leakage.plain(None) == ""
 

@@ -6,7 +6,8 @@ fifth as often, either may be the clean one, and a decoding of utf-8 decides. Al
 give pairs (garbled, clean), and each pair votes for the wrong decodings that explain it. Decodings with enough votes are
 the learned mappings; together with those between scripts that no ASCII skeleton can witness (checked by the corpus's own
 character pairs) they are applied to every run of non-ASCII characters of every document. Where a decoding lost characters,
-the clean twin gives them back if there is one.
+the clean twin gives them back if there is one. A sequence that stands alone, which may be what the text speaks of, counts
+if it too has a twin: a clean character between the same words.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ RIGHT = ("utf-8", "gb18030", "cp1251", "koi8_r", "cp1252", "cp866", "big5", "cp9
 #: Decodings between scripts without ASCII letters: no skeleton witnesses them, character pairs do.
 UNWITNESSED = tuple((w, r) for w, r in product(WRONG, RIGHT) if r in ("gb18030", "cp1251", "koi8_r", "big5", "cp932", "euc_kr", "cp866") and w in ("cp1252", "latin-1", "mac_roman", "cp437", "cp850", "cp1250")) + (("koi8_r", "cp1251"), ("cp1251", "koi8_r"), ("cp866", "cp1251"), ("cp1251", "cp866"), ("koi8_r", "utf-8"), ("cp866", "utf-8"), ("big5", "utf-8"), ("cp932", "utf-8"), ("euc_kr", "utf-8"), ("big5", "gb18030"), ("gb18030", "big5"))
 LOST = "�"
-#: Fixed list: words by which a text speaks of a garbled sequence as its subject.
-MENTION = re.compile(r"instead of|in place of|printed as|shown as|displayed as|rendered as|symptom|\bbytes?\b|page shows|belongs|mojibake|encoding|charset|replacement char|code ?point|statt|au lieu de|en lugar de|en vez de|вместо|代替|显示为|乱码", re.IGNORECASE)
+_BEFORE, _AFTER = re.compile(r"(\w+)\W*$", re.ASCII), re.compile(r"\W*(\w+)", re.ASCII)
+LONE = 4  # characters of a sequence that may stand alone as the subject of a sentence
 
 
 def to_bytes(s: str, codec: str) -> bytes | None:
@@ -85,26 +86,44 @@ def _census(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words: Counter = Counter()
     chars: Counter = Counter()
     duos: Counter = Counter()
+    lone: Counter = Counter()
 
     def flush() -> pa.RecordBatch:
-        rows = [("w", RUN.sub("\0", w), w, n) for w, n in words.items()] + [("c", c, "", n) for c, n in chars.items()] + [("p", p, "", n) for p, n in duos.items()]
-        words.clear(), chars.clear(), duos.clear()
+        rows = [("w", RUN.sub("\0", w), w, n) for w, n in words.items()] + [("x", c, r, n) for (c, r), n in lone.items()] + [("c", c, "", n) for c, n in chars.items()] + [("p", p, "", n) for p, n in duos.items()]
+        words.clear(), chars.clear(), duos.clear(), lone.clear()
         k, a, b, n = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays([pa.array(k), pa.array(a), pa.array(b), pa.array(n, pa.int64())], names=["kind", "a", "b", "n"])
 
     for batch in batches:
         for t in batch.column(0).to_pylist():
-            runs = RUN.findall(t)
+            runs = []
+            for m in RUN.finditer(t):
+                runs.append(m.group())
+                if m.end() - m.start() <= LONE and alone(t, m.start(), m.end()):
+                    lone[context(t, m.start(), m.end()), m.group()] += 1
             words.update(w for w in _words(t) if sum(map(str.isascii, w)) >= 2)
             for r in runs:
                 chars.update(r)
                 duos.update(map("".join, zip(r, r[1:], strict=False)))
-        if len(words) + len(duos) > 200_000:
+        if len(words) + len(duos) + len(lone) > 200_000:
             yield flush()
     if words or chars:
         yield flush()
 
 
+def alone(t: str, a: int, b: int) -> bool:
+    """No letter, digit or underscore touches ``t[a:b]``."""
+    return not ((a and (t[a - 1].isalnum() or t[a - 1] == "_")) or (b < len(t) and (t[b].isalnum() or t[b] == "_")))
+
+
+def context(t: str, a: int, b: int) -> str:
+    """The words before and after ``t[a:b]`` on its line, with a gap for what stands between: the skeleton of a sequence that stands alone."""
+    before = _BEFORE.search(t, max(t.rfind("\n", 0, a) + 1, a - 60), a)
+    end = t.find("\n", b)
+    after = _AFTER.match(t, b, min(end if end >= 0 else len(t), b + 60))
+    return f"{before.group(1).lower() if before else ''}\0{after.group(1).lower() if after else ''}"
+
+
 _LETTER = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
 _CORE = re.compile(r"[^\x00-\x7f]+(?:[A-Za-z]+[^\x00-\x7f]+)*[A-Za-z]*")
 
@@ -212,27 +231,32 @@ class Mender:
             return cyr >= 0.7 * len(s) and sum(c.isupper() for c in s) <= 1 + 0.2 * len(s)
         return cjk >= 0.9 * len(s)
 
-    def mend(self, t: str) -> tuple[bool, str, list[str]]:
-        """Whether ``t`` has a garbled sequence, ``t`` with what decodings give back, and words with losses left in it."""
-        out, last, bad, left = [], 0, False, []
+    def mend(self, t: str) -> tuple[bool, str, list[str], list[str]]:
+        """Whether ``t`` has a garbled sequence, ``t`` with what decodings give back, words with losses left in it, and the
+        contexts of garbled sequences that stand alone: these may be what the text speaks of, so they alone prove nothing."""
+        out, last, bad, left, lone = [], 0, False, [], []
         for m in RUN.finditer(t):
             a, b, r = m.start(), m.end(), m.group()
             inside = (a > 0 and t[a - 1] in _LETTER) or (b < len(t) and t[b] in _LETTER)
             got, rest = self.run(r, inside)
-            lost = LOST in r or any("\x80" <= c <= "\x9f" for c in r)
-            if got is None and not lost:
+            if got is None and not self.lossy(r):
                 if inside and not self.leads.isdisjoint(r):
                     left.append(self.word_at(t, a, b))
                 continue
-            if not inside and len(r) <= 4 and self.mentioned(t, a, b):
-                continue
-            bad = True
+            if len(r) <= LONE and alone(t, a, b):
+                lone.append(context(t, a, b))
+            else:
+                bad = True
             if got is None or rest or LOST in got:
                 left.append(self.word_at(t, a, b))
             if got is not None:
                 out += [t[last:a], got]
                 last = b
-        return bad, "".join([*out, t[last:]]), left
+        return bad, "".join([*out, t[last:]]), left, lone
+
+    @staticmethod
+    def lossy(r: str) -> bool:
+        return LOST in r or any("\x80" <= c <= "\x9f" for c in r)
 
     def parts(self, r: str) -> tuple[str | None, bool]:
         """A run of which only parts are garbled, or that has losses: what can be given back, and whether losses stay."""
@@ -269,18 +293,10 @@ class Mender:
             b += 1
         return t[a:b]
 
-    @staticmethod
-    def mentioned(t: str, a: int, b: int) -> bool:
-        """The sequence stands alone and its sentence speaks of it."""
-        if (a and (t[a - 1].isalnum() or t[a - 1] == "_")) or (b < len(t) and (t[b].isalnum() or t[b] == "_")):
-            return False
-        lo = max(t.rfind("\n", 0, a), t.rfind(". ", 0, a), 0)
-        hi = min((x for x in (t.find("\n", b), t.find(". ", b)) if x >= 0), default=len(t))
-        return bool(MENTION.search(t, lo, hi))
-
 
-def learn(docs: DataFrame, clean_min: int = 3, votes_min: int = 2) -> tuple[list[tuple[str, str]], dict[str, int], dict[str, int], DataFrame]:
-    """Learned decodings (wrong, right), best first; counts of characters and of pairs; twins (word, clean, explained).
+def learn(docs: DataFrame, clean_min: int = 3, votes_min: int = 2) -> tuple[list[tuple[str, str]], dict[str, int], dict[str, int], DataFrame, DataFrame]:
+    """Learned decodings (wrong, right), best first; counts of characters and of pairs; twins (word, clean, explained); and
+    what stands alone in each context (context, run).
 
     Decodings are bounded by the codec tables. Counts are whole: as many as there are characters and pairs in the corpus.
     ``rare`` twins stand at most a fifth as often as the clean spelling; of the others single-byte decodings prove nothing,
@@ -293,12 +309,12 @@ def learn(docs: DataFrame, clean_min: int = 3, votes_min: int = 2) -> tuple[list
     both = words.join(top, "a").where("b <> clean").withColumn("rare", F.expr("n * 5 <= most"))
     twins = both.select(F.col("b").alias("word"), "clean", "rare", F.col("most").alias("m"), F.lit(False).alias("turned"))
     twins = twins.union(both.where(~F.col("rare") & (F.col("n") >= clean_min)).select(F.col("clean").alias("word"), F.col("b").alias("clean"), "rare", F.col("n").alias("m"), F.lit(True).alias("turned")))
-    twins = cut(twins.repartition(F.xxhash64("word") % 64))
+    twins = cut(twins.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "word"))
     votes = twins.mapInPandas(_votes, "wrong string, right string, garbled string, clean string")
     got = votes.groupBy("wrong", "right").agg(F.countDistinct("garbled", "clean").alias("n")).where(F.col("n") >= votes_min).collect()
     learned = [(r.wrong, r.right) for r in sorted(got, key=lambda r: (-r.n, r.wrong, r.right))]
     counts = [{r.a: r.n for r in census.where(F.col("kind") == k).select("a", "n").collect()} for k in ("c", "p")]
-    return learned, counts[0], counts[1], twins
+    return learned, counts[0], counts[1], twins, census.where("kind = 'x'").select(F.col("a").alias("context"), F.col("b").alias("run"))
 
 
 def _explained(learned: list[tuple[str, str]]):  # noqa: ANN202
@@ -323,31 +339,41 @@ def wrong_encoding(df: DataFrame) -> DataFrame:
     whether nothing is known to be missing.
 
     ``df`` has doc_id and text. Null, empty and ASCII-only texts are never garbled; repeated texts each come out; a text
-    that only quotes garbled characters as its subject is left out. Empty tables give no rows.
+    that only quotes garbled characters as its subject is left out: a garbled sequence that stands alone counts if the
+    words around it stand around a clean character somewhere in the corpus. Empty tables give no rows.
     """
     docs = df.select("doc_id", "text")
-    learned, chars, duos, twins = learn(docs)
+    learned, chars, duos, twins, lone = learn(docs)
     known = twins.mapInPandas(_explained(learned), "word string, clean string, m long")
     known = cut(known.groupBy("word").agg(F.max_by("clean", F.struct("m", "clean")).alias("clean")))
     spelt = known.select(F.explode(F.array_distinct(F.split(F.regexp_replace("word", r"[\x00-\x7F]", ""), ""))).alias("c")).distinct().collect()  # characters, so bounded
     leads = frozenset(r.c for r in spelt)
 
+    def clean(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        m = Mender(learned, chars, duos, leads)
+        for f in frames:
+            yield f[[m.run(r, False)[0] is None and not m.lossy(r) for r in f["run"]]][["context"]]
+
+    witnesses = cut(lone.mapInPandas(clean, "context string").distinct())  # contexts in which a clean character stands somewhere
+
     def mend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = Mender(learned, chars, duos, leads)
         for b in batches:
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                bad, text, left = m.mend(t)
-                if bad or left:
-                    rows.append((i, bad, text if bad else None, left))
-            ids, bads, texts, lefts = zip(*rows, strict=True) if rows else ((), (), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bads, pa.bool_()), pa.array(texts, pa.string()), pa.array(lefts, pa.list_(pa.string()))], names=["doc_id", "bad", "text", "words"])
-
-    seen = docs.where(F.col("text").rlike(r"[^\x00-\x7F]")).mapInArrow(mend, "doc_id long, bad boolean, text string, words array<string>")
+                bad, text, left, at = m.mend(t)
+                if bad or left or at:
+                    rows.append((i, bad, text if bad or at else None, left, at))
+            ids, bads, texts, lefts, ats = zip(*rows, strict=True) if rows else ((), (), (), (), ())
+            strings = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(bads, pa.bool_()), pa.array(texts, pa.string()), pa.array(lefts, strings), pa.array(ats, strings)], names=["doc_id", "bad", "text", "words", "contexts"])
+
+    seen = docs.where(F.col("text").rlike(r"[^\x00-\x7F]")).mapInArrow(mend, "doc_id long, bad boolean, text string, words array<string>, contexts array<string>")
     seen = written(seen.withColumn("rid", F.monotonically_increasing_id()), "mended")
+    proven = seen.where("not bad").select("rid", F.explode(F.array_distinct("contexts")).alias("context")).join(witnesses, "context", "left_semi").select("rid").distinct().withColumn("proven", F.lit(True))
     hits = seen.select("rid", F.explode(F.array_distinct("words")).alias("word")).join(known, "word").groupBy("rid").agg(F.collect_list(F.struct("word", "clean")).alias("fix"))
-    lost = seen.where("not bad").join(hits, "rid", "left_semi").select("doc_id", "rid").join(docs, "doc_id").select("rid", F.col("text").alias("raw"))
-    out = seen.join(hits, "rid", "left").join(lost, "rid", "left").where("bad or fix is not null").withColumn("text", F.coalesce("text", "raw"))
+    lost = seen.where("text is null").join(hits, "rid", "left_semi").select("doc_id", "rid").join(docs, "doc_id").select("rid", F.col("text").alias("raw"))
+    out = seen.join(hits, "rid", "left").join(lost, "rid", "left").join(proven, "rid", "left").where("bad or fix is not null or proven").withColumn("text", F.coalesce("text", "raw"))
     fixed = F.aggregate(F.coalesce("fix", F.array().cast("array<struct<word:string,clean:string>>")), F.col("text"), lambda acc, x: F.replace(acc, x["word"], x["clean"]))
     out = out.select("doc_id", fixed.alias("restored"))
     return out.select("doc_id", "restored", (~F.contains("restored", F.lit(LOST))).alias("whole"))

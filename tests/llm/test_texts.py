@@ -155,6 +155,17 @@ def test_wrong_encoding(spark):
     assert charsets.wrong_encoding(docs(spark, [])).collect() == [] and charsets.wrong_encoding(docs(spark, ["", None, "plain"])).collect() == []
 
 
+def test_sequences_that_stand_alone(spark):
+    """What a text speaks of is no case; what stands where other texts have a clean character is."""
+    clean = clean_corpus()
+    texts = clean + [clean[i].encode("utf-8").decode("cp1252", "ignore") for i in (0, 1)] + [f"see \u00a7 12 of the spec {i}" for i in range(6)] + [f"about 2 \u00d7 4 tiles, {i}" for i in range(6)]
+    first = len(texts)
+    texts += ["now see \u00c2\u00a7 12 of the spec", "the page shows \u00c3\u00a9 where \u00e9 belongs", "bytes EF BF BD, printed as \ufffd, to a file", "some 2 \ufffd 4 tiles", "\u00c3\u00a9"]
+    got = {r.doc_id: r.restored for r in charsets.wrong_encoding(docs(spark, texts)).collect()}
+    assert {k - first for k in got if k >= first} == {0, 3} and got[first] == "now see \u00a7 12 of the spec"
+    assert charsets.context("a\nsee, \u00a7\n12", 7, 8) == "see\0" and charsets.alone("x\u00e9 \u00e9", 3, 4) and not charsets.alone("x\u00e9", 1, 2)
+
+
 def test_codec_steps():
     g = "é’".encode().decode("cp1252")
     assert charsets.undo(g, "cp1252", "utf-8") == "é’" and charsets.undo("é", "cp1252", "utf-8") is None
@@ -163,7 +174,7 @@ def test_codec_steps():
 
 def test_learned_decodings_need_no_utf8_sequence():
     m = charsets.Mender([("mac_roman", "cp1252")], {"é": 1000, "È": 2}, {})
-    assert m.mend("un dÈbut") == (True, "un début", [])
+    assert m.mend("un dÈbut")[:3] == (True, "un début", [])
     text = "проверяет список"
     chars = dict.fromkeys(set(text), 500)
     garbled = text.encode("cp1251").decode("koi8_r")
@@ -186,7 +197,7 @@ def test_statistics_of_all_pairs(spark):
     rng = random.Random(4)
     texts = ["".join(chr(0x4E00 + rng.randrange(600)) for _ in range(2000)) for _ in range(50)]
     want = {a + b for t in texts for a, b in zip(t, t[1:])}
-    _, _, duos, _ = charsets.learn(docs(spark, texts))
+    _, _, duos, *_ = charsets.learn(docs(spark, texts))
     assert len(want) > 80_000 and set(duos) == want
 
 

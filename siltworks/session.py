@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -57,7 +58,25 @@ def written(df: DataFrame, name: str, partition_by: list[str] | None = None) ->
     path = scratch(df.sparkSession, name)
     w = df.write.mode("overwrite").option("compression", "zstd")
     (w.partitionBy(*partition_by) if partition_by else w).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.__dict__["_scratch"] = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what :func:`written` wrote. Only for tables that nothing lazy reads any more: whatever was made of them is cut or written."""
+    for t in tables:
+        path = t.__dict__.pop("_scratch", None)
+        if path:
+            spark = t.sparkSession
+            p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """After a phase of a long job: let go of its plans, so that Spark's cleaner deletes their shuffle files and checkpoints now and not whenever the driver runs out of memory."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from siltworks.llm.common import norm_role
 from siltworks.llm.tokens import mix, shingles, tokenize
 from siltworks.operators.components import connected_components
-from siltworks.session import cut, written
+from siltworks.session import cut, discard, release, written
 
 COORDS = 32
 MATCHES = 6
@@ -109,7 +109,9 @@ def _similar(docs: DataFrame, pairs: DataFrame, common: float, k: int) -> DataFr
     sets = docs.select("row_id", "texts").join(ids, "row_id", "left_semi").mapInArrow(_shingle_sets(k), "doc long, set array<int>")
     sets = written(sets, "sets")
     j = pairs.join(sets.select(F.col("doc").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("doc").alias("b"), F.col("set").alias("sb")), "b")
-    return j.where(F.size(F.array_intersect("sa", "sb")) >= F.lit(common) * F.greatest(F.size("sa"), F.size("sb"), F.lit(1))).select("a", "b")
+    out = cut(j.where(F.size(F.array_intersect("sa", "sb")) >= F.lit(common) * F.greatest(F.size("sa"), F.size("sb"), F.lit(1))).select("a", "b"))
+    discard(sets)
+    return out
 
 
 def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common: float = COMMON, k: int = SHINGLE, check_k: int = CHECK_SHINGLE, long_list: int = LONG_LIST) -> DataFrame:
@@ -118,6 +120,7 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
     ``df`` has row_id and conversations. Null and empty values are empty texts; rows whose conversations agree wholly are
     one group, also without any word. Rows without turns are left out. Empty tables give no rows.
     """
+    spark = df.sparkSession
     docs = conversations(df)
     sig = written(docs.select("row_id", "texts", "whole").mapInArrow(_signatures(coords, k), "row_id long, whole string, sig array<long>"), "sig")
     same = sig.groupBy("whole").agg(F.min("row_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("whole", "rep")
@@ -129,13 +132,18 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
 
     star = lists.select(F.explode(F.array(F.struct(F.col("lo").alias("a"), F.col("doc").alias("b")), F.struct(F.when(F.col("doc") != F.col("lo"), F.col("doc")).alias("a"), F.col("hi").alias("b")))).alias("p")).select("p.a", "p.b").where("a < b")
     star = cut(star.groupBy("a", "b").agg(F.count("*").alias("n")).where(F.col("n") >= matches).select("a", "b"))
-    edges = cut(_similar(docs, star, common, check_k))
+    release(spark)
+    edges = _similar(docs, star, common, check_k)
     comp = cut(connected_components(edges))
+    release(spark)
 
     more = residual_pairs(docs, lists, comp, matches, long_list, common, check_k)
+    discard(lists)
     if more is not None:
-        edges = cut(edges.union(_similar(docs, more, common, check_k)))
+        release(spark)
+        edges = edges.union(_similar(docs, more, common, check_k))
         comp = cut(connected_components(edges))
+        release(spark)
     whole = copies.select("row_id", F.col("rep").alias("doc")).where("row_id <> doc")
     member = sig.select("row_id").join(whole, "row_id", "left").withColumn("doc", F.coalesce("doc", "row_id"))
     return member.join(comp.select(F.col("node").alias("doc"), "component"), "doc", "left").select("row_id", F.coalesce("component", "doc").alias("group_id"))

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from siltworks.config import EVIDENCE, LOW_INFO, NO_EVIDENCE, QUALITY_FLOOR, QUALITY_FLOOR_FACTOR, RARITY_DEFAULT, RARITY_WEIGHTS, SCORE_ANCHOR, SELECTION, SELECTIVE, STAGE_SELECTION, STAGE_VALUE, VALUE_WEIGHTS
 from siltworks.operators.rarity import mid_rank
+from siltworks.session import written
+
+SALTS = 8  # parts of a tag's records with one value
 
 
 def clamp(c: Column, lo: float = 1.0, hi: float = 10.0) -> Column:
@@ -93,10 +96,16 @@ def selection_scores(scored: DataFrame, long: DataFrame, key: str, quality: str
     weight and confidence. Records without usable tags keep the global percentile. Ranks come from counts of distinct
     values, so a tag that most records have doesn't gather in one task. Scores are 1 + 9x."""
     base = mid_rank(scored.where(F.col(quality).isNotNull()).select(key, F.round(quality, 4).alias("q")), "q", [], "g")
+    base = written(base, "ranked")
     tags = long.groupBy(key, "dim", "tag").agg(F.greatest(F.max("confidence"), F.lit(SELECTION["confidence_floor"])).alias("c"))
-    j = tags.join(base, key)
-    sizes = j.groupBy("dim", "tag").agg(F.count("*").alias("n"), F.sum("c").alias("s")).where(F.col("n") >= min_group)
-    j = mid_rank(j.join(sizes, ["dim", "tag"], "left_semi"), "q", ["dim", "tag"], "t").join(sizes, ["dim", "tag"])
+    j = written(tags.join(base, key), "tagged")
+    # of each tag and value: its rank within the tag, and the tag's size; a value that most records share is cut into parts
+    at = j.groupBy("dim", "tag", "q").agg(F.count("*").alias("k"), F.sum("c").alias("cs"))
+    w = Window.partitionBy("dim", "tag")
+    below = F.coalesce(F.sum("k").over(w.orderBy("q").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    at = at.select("dim", "tag", "q", "k", below.alias("below"), F.sum("k").over(w).alias("n"), F.sum("cs").over(w).alias("s")).where(F.col("n") >= min_group)
+    at = at.select("dim", "tag", "q", "s", ((F.col("below") + (F.col("k") - 1) / 2) / F.greatest(F.col("n") - 1, F.lit(1))).alias("t"), F.explode(F.array(*[F.lit(i).cast("long") for i in range(SALTS)])).alias("part"))
+    j = j.withColumn("part", F.pmod(F.xxhash64(key), F.lit(SALTS))).join(at, ["dim", "tag", "q", "part"])
     pull = F.col("s") / (F.col("s") + prior)
     p = F.col("c") * (pull * F.col("t") + (1 - pull) * F.col("g")) + (1 - F.col("c")) * F.col("g")
     per = j.withColumn("p", p).groupBy(key, "dim").agg(F.avg("p").alias("p"), F.max("c").alias("c"))

@@ -104,4 +104,22 @@ def turn_id(did: Column, turn: Column) -> Column:
 
 def think_to_tokens(c: Column) -> Column:
     """Think tags as token pairs; empty blocks are removed."""
-    return F.regexp_replace(F.regexp_replace(c, r"(?s)<think>\s*</think>\s*", ""), r"(?s)<think>(.*?)</think>", "[unused16]$1[unused17]")
+    return F.regexp_replace(F.regexp_replace(c, r"(?s)<think>\s*</think>", ""), r"(?s)<think>\s*(.*?)\s*</think>", "[unused16]$1[unused17]")
+
+
+def conversation_cot(ts: Column) -> Column:
+    """The reasoning of all replies, in order, joined by blank lines."""
+    own = F.transform(F.filter(ts, lambda t: t["from"] == "gpt"), lambda t: cot_text(t["value"]))
+    return F.array_join(F.filter(own, lambda x: x != ""), "\n\n")
+
+
+def chat_form(record_id: Column, ts: Column, fallback: Column) -> Column:
+    """Struct (id, conversations): a record as plain chat, with a made id where it has none."""
+    return F.struct(F.coalesce(F.nullif(record_id, F.lit("")), fallback).alias("id"), ts.alias("conversations"))
+
+
+def token_form(record_id: Column, ts: Column, fallback: Column) -> Column:
+    """Struct (id, data): a record as role and content, with reasoning as token pairs."""
+    names = lambda r: F.when(r == "human", "user").when(r == "gpt", "assistant").otherwise(r)
+    data = F.transform(ts, lambda t: F.struct(names(t["from"]).alias("role"), F.when(t["from"] == "gpt", think_to_tokens(t["value"])).otherwise(t["value"]).alias("content")))
+    return F.struct(F.coalesce(F.nullif(record_id, F.lit("")), fallback).alias("id"), data.alias("data"))

@@ -8,6 +8,7 @@ above that banding is approximate, as in any banded search)."""
 from __future__ import annotations
 
 import hashlib
+import json
 import random
 from collections.abc import Iterator
 
@@ -130,3 +131,17 @@ def cluster_stats(members: DataFrame, by: str = "cluster") -> DataFrame:
     run = sizes.withColumn("hi", F.sum("c").over(w)).withColumn("n", F.sum("c").over(Window.partitionBy(F.lit(1))))
     at = lambda p: F.min(F.when(F.col("hi") > F.least(F.floor(F.col("n") * p), F.col("n") - 1), F.col("size")))
     return run.agg(F.sum(F.col("size") * F.col("c")).alias("windows"), F.max("n").alias("clusters"), F.coalesce(F.sum(F.when(F.col("size") == 1, F.col("c"))), F.lit(0)).alias("singletons"), at(0.5).alias("p50"), at(0.9).alias("p90"))
+
+
+def export_clusters(members: DataFrame, windows: DataFrame, all_members: bool = False) -> DataFrame:
+    """Members joined with their windows, representatives alone unless ``all_members``; a member without its window is an error."""
+    m = members if all_members else members.where("representative")
+    lost = m.join(windows.select("window_id"), "window_id", "left_anti").count()
+    if lost:
+        raise ValueError(f"{lost} members refer to windows that are missing")
+    return m.join(windows, "window_id")
+
+
+def compatibility_key(**params: object) -> str:
+    """A hash of the parameters that results depend on: artefacts of another key aren't resumed."""
+    return hashlib.sha256(json.dumps(params, sort_keys=True, separators=(",", ":"), default=str).encode()).hexdigest()

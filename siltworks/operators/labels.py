@@ -122,12 +122,59 @@ def trigger(labels: Column, any_of: Mapping[str, Sequence[str]] | None = None, a
     return F.coalesce(out, F.lit(False))
 
 
-def validate_scores(sub: Column, overall: Column) -> Column:
-    """A score within 1..10 as a whole number, else null; an overall more than 2 from the mean of its parts becomes that mean, rounded half to even."""
+def min_confidence(conf: Column) -> Column:
+    """Struct (confidence, dim) of the least sure dimension, the first by name of equal ones; null without any."""
+    return F.array_min(F.transform(F.map_entries(clean_confidence(conf)), lambda e: F.struct(e["value"].alias("confidence"), e["key"].alias("dim"))))
+
+
+def flat_tags(labels: Column) -> Column:
+    """All tags of a record, as ``tag`` and as ``dim:tag``, sorted without repeats; none without labels."""
+    a = as_arrays(labels)
+    named = [F.transform(a[d], _prefixed(d)) for d in (*SINGLE_DIMS, *MULTI_DIMS)]
+    return F.array_sort(F.array_distinct(F.flatten(F.array(*[a[d] for d in (*SINGLE_DIMS, *MULTI_DIMS)], *named))))
+
+
+def _prefixed(dim: str):  # noqa: ANN202
+    return lambda t: F.concat(F.lit(dim + ":"), t)
+
+
+def validate_scores(sub: Column, overall: Column, correctness: Column | None = None) -> Column:
+    """A score within 1..10 as a whole number, else null; an overall over ``correctness`` + 2 becomes that; then one more
+    than 2 from the mean of its parts becomes the mean, rounded half to even."""
     ok = lambda c: F.when(c.between(1, 10), c.cast("int"))
+    total = ok(overall)
+    if correctness is not None:
+        total = F.when(total > ok(correctness) + 2, ok(correctness) + 2).otherwise(total)
     parts = F.filter(F.transform(sub, ok), lambda x: x.isNotNull())
     mean = F.aggregate(parts, F.lit(0.0), lambda x, y: x + y) / F.size(parts)
-    return F.when((F.size(parts) > 0) & (F.abs(ok(overall) - mean) > 2), F.bround(mean, 0).cast("int")).otherwise(ok(overall))
+    return F.when((F.size(parts) > 0) & (F.abs(total - mean) > 2), F.bround(mean, 0).cast("int")).otherwise(total)
+
+
+def known_flags(flags: Column, known: Sequence[str]) -> Column:
+    """Struct (known, unknown) of a list of flags; null flags are left out."""
+    have = F.array(*[F.lit(k) for k in known])
+    some = F.filter(F.coalesce(flags, F.array().cast("array<string>")), lambda f: f.isNotNull())
+    return F.struct(F.filter(some, lambda f: F.array_contains(have, f)).alias("known"), F.filter(some, lambda f: ~F.array_contains(have, f)).alias("unknown"))
+
+
+def pool_issues(pool: DataFrame, dims: Sequence[str] = (*SINGLE_DIMS, *MULTI_DIMS), most: int = 200) -> DataFrame:
+    """``(issue, name)``: tags without dimension or name, of an unknown dimension, without subcategory where others of their
+    dimension have one, subcategories that stand in several dimensions, aliases with capital letters or over ``most`` characters."""
+    grouped = pool.where("subcategory is not null").select(F.col("dim").alias("_d")).distinct()
+    lacking = pool.where("subcategory is null").join(grouped, F.col("dim") == F.col("_d"), "left_semi").select(F.lit("lacks-subcategory").alias("issue"), F.col("tag").alias("name"))
+    missing = pool.where("tag is null or tag = '' or dim is null or dim = ''").select(F.lit("lacks-required-field").alias("issue"), F.coalesce("tag", F.lit("")).alias("name"))
+    unknown = pool.where(~F.col("dim").isin(*dims)).select(F.lit("unknown-dimension").alias("issue"), F.col("tag").alias("name"))
+    shared = pool.where("subcategory is not null").groupBy("subcategory").agg(F.countDistinct("dim").alias("n")).where("n > 1").select(F.lit("subcategory-in-several-dims").alias("issue"), F.col("subcategory").alias("name"))
+    al = pool.select(F.explode("aliases").alias("alias")).where("alias is not null")
+    case = al.where(F.col("alias") != F.lower("alias")).select(F.lit("alias-not-lowercase").alias("issue"), F.col("alias").alias("name"))
+    long_ = al.where(F.length("alias") > most).select(F.lit("alias-too-long").alias("issue"), F.col("alias").alias("name"))
+    return missing.unionByName(unknown).unionByName(lacking).unionByName(shared).unionByName(case).unionByName(long_)
+
+
+def guessed_dimension(values: DataFrame, pool: DataFrame, value: str = "value") -> DataFrame:
+    """Adds guess: the first dimension by name whose pool has the value as tag or alias; null if none has."""
+    names = pool.select("dim", F.explode(F.concat(F.array("tag"), F.coalesce("aliases", F.array().cast("array<string>")))).alias("_n")).groupBy("_n").agg(F.min("dim").alias("guess"))
+    return values.join(names, F.col(value) == F.col("_n"), "left").drop("_n")
 
 
 def taxonomy_issues(pool: DataFrame) -> DataFrame:

@@ -47,6 +47,14 @@ def combo_rarity(combo_n: Column, total: int, confidence: Column, tag_rarity: Co
     return F.when(combo_n.isNull(), 0.0).otherwise(own)
 
 
+def combo_baseline(external: DataFrame | None, local: DataFrame | None) -> tuple[DataFrame | None, str]:
+    """Which combination counts rarity is measured by: the external ones if there are any, else the batch's own (hybrid), else none (disabled)."""
+    for counts, name in ((external, "external"), (local, "hybrid")):
+        if counts is not None and not counts.isEmpty():
+            return counts, name
+    return None, "disabled"
+
+
 def raw_rarity(tag: Column, combo: Column, alpha: float = COMBO_ALPHA) -> Column:
     return alpha * tag + (1 - alpha) * combo
 

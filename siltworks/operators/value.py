@@ -13,7 +13,8 @@ SALTS = 8  # parts of a tag's records with one value
 
 
 def clamp(c: Column, lo: float = 1.0, hi: float = 10.0) -> Column:
-    return F.greatest(F.lit(lo), F.least(F.lit(hi), c))
+    """``c`` within lo..hi; null stays null."""
+    return F.when(c.isNotNull(), F.greatest(F.lit(lo), F.least(F.lit(hi), c)))
 
 
 def shrink(v: Column, confidence: Column) -> Column:

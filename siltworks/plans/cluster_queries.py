@@ -13,23 +13,8 @@ from siltworks.plans.registry import query
 from siltworks.session import spread, table, written
 
 
-def _embedded(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    v = table(spark, d, "embeddings").select("vec_id", "embedding").where("embedding is not null")
-    return v, C.semhash(v, "vec_id", dim=64, bits=64)
 
 
-@query()
-def semhash_bands(spark: SparkSession, d: str) -> DataFrame:
-    _, h = _embedded(spark, d)
-    return h.select("vec_id", F.posexplode(C.bands(F.col("hash"), 64, 8)).alias("band", "value"))
-
-
-@query()
-def knn_edges(spark: SparkSession, d: str) -> DataFrame:
-    v, h = _embedded(spark, d)
-    e = C.neighbours(v, h, "vec_id", radius=28, cosine=0.35, n_bands=8, bits=64)
-    return e.select("a", "b", r6(F.col("similarity")).alias("similarity"))
-
 
 _CC = """e as (select n_nationkey::bigint as a, n_regionkey::bigint + 1000 as b from nation), v as (select a as node from e union select b from e), both_ as (select a, b from e union all select b, a from e),
   cc as (with recursive r(node, c) as (select node, node from v union select b.b, r.c from r join both_ b on b.a = r.node) select node, min(c) as component from r group by node)"""

@@ -272,11 +272,6 @@ def migration_first_wins(spark: SparkSession, d: str) -> DataFrame:
     return g.select("id", "intent", "row_id")
 
 
-@query(f"with {SLICES} select count(*) as n from slices s where s.row_id % 2 = 0 and not exists (select 1 from slices t where t.id = s.id and t.row_id % 2 = 1)")
-def resume_antijoin(spark: SparkSession, d: str) -> DataFrame:
-    s = slices(spark, d)
-    return LU.resume(s.where("row_id % 2 = 0"), s.where("row_id % 2 = 1"), "id").agg(F.count("*").alias("n"))
-
 
 @query(f"with {SLICES} select row_id, id, source_file, coalesce(intent, '') as intent, value from slices")
 def review_rows(spark: SparkSession, d: str) -> DataFrame:

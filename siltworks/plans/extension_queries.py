@@ -41,14 +41,6 @@ def extension_rarity(spark: SparkSession, d: str) -> DataFrame:
     return r.select("row_id", "spec", r6(F.col("raw")).alias("raw"), r6(F.col("score")).alias("score"), r6(F.col("confidence")).alias("confidence"))
 
 
-@query()
-def extension_validation(spark: SparkSession, d: str) -> DataFrame:
-    """The agentic tags as a reply, against a spec that knows a few of them."""
-    spec = E.Spec("steps", "1", {"steps": ("shell-steps", "test-loop", "doc-lookup")}, multi=("steps",), any_of={"language": ("python", "go", "rust")})
-    s = samples(spark, d).where(E.matches(spec, F.col("labels")))
-    v = E.validated(spec, F.create_map(F.lit("steps"), F.coalesce("labels.agentic", F.array().cast("array<string>"))))
-    return s.select("row_id", v["status"].alias("status"), v["labels"]["steps"].alias("known"), F.size(v["unmapped"]).alias("n_unmapped"))
-
 
 
 
@@ -63,15 +55,3 @@ def tool_signatures(spark: SparkSession, d: str) -> DataFrame:
 def selection_compare(spark: SparkSession, d: str) -> DataFrame:
     s = _scored(spark, d)
     return SC.threshold_shift(SC.compare_selection(s.select("row_id", F.col("quality").alias("selection")), s.select("row_id", F.col("complexity").alias("selection")), "row_id"))
-
-
-@query()
-def external_scorer(spark: SparkSession, d: str) -> DataFrame:
-    """The scorer boundary with a deterministic stand-in: length of the answer as a score."""
-    import pandas as pd
-
-    def call(f: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"row_id": f["row_id"], "overall": (f["chars"] % 10 + 1).astype("int64")})
-
-    t = turns(spark, d).select("row_id", F.aggregate("turns", F.lit(0).cast("long"), lambda a, x: a + F.length(x["value"])).alias("chars"))
-    return SC.external(t, call, "row_id long, overall long")

@@ -104,19 +104,6 @@ def rarity_percentile(spark: SparkSession, d: str) -> DataFrame:
     return R.percentile_rank(q, "v", "rarity").select("row_id", r6(F.col("rarity")).alias("rarity"))
 
 
-@query(f"""with {TAGS}, b as (select dim, tag, count(*) as n from tags where row_id % 2 = 0 group by all), t as (select count(*) as t from samples where labels is not null and row_id % 2 = 0),
-  i as (select dim, tag, greatest(0.0, log2(t / (n + 1.0))) as idf from b, t), p as (select dim, avg(idf) as prior from i group by dim),
-  x as (select g.row_id, g.dim, max(coalesce(i.idf, p.prior)) as m from tags g join p on p.dim = g.dim left join i on i.dim = g.dim and i.tag = g.tag where g.row_id % 2 = 1 group by all)
-  select row_id, {q6('max(m)')} as peak, count(*) as dims from x group by row_id""")
-def rarity_external_baseline(spark: SparkSession, d: str) -> DataFrame:
-    """Rarity of one half against the other half's distribution; tags that it lacks count as the dimension's prior."""
-    long = _long(spark, d)
-    n = samples(spark, d).where("labels is not null and row_id % 2 = 0").count()
-    base = R.idf_table(R.distribution(long.where("row_id % 2 = 0")), n)
-    j = long.where("row_id % 2 = 1").join(F.broadcast(base.select("dim", "prior").distinct()), "dim").join(base.select("dim", "tag", "idf"), ["dim", "tag"], "left")
-    x = j.groupBy("row_id", "dim").agg(F.max(F.coalesce("idf", "prior")).alias("m"))
-    return x.groupBy("row_id").agg(r6(F.max("m")).alias("peak"), F.count("*").alias("dims"))
-
 
 @query(f"with {SAMPLES} select row_id, {q6('least(0.5, 0.1 * case when row_id % 400 >= 200 then coalesce(score_confidence, 1.0) else 0.0 end * greatest(0.0, coalesce(rarity, 5.0) - 5))')} as bonus from samples")
 def extension_bonus(spark: SparkSession, d: str) -> DataFrame:

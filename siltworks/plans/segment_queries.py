@@ -59,7 +59,7 @@ _MULT = "case stage when 'opener' then {o} when 'exploration' then {e} when 'ver
 _SELECT, _VALUE = _MULT.format(o=0.67, e=0.87, v=1.05, f=0.985, b=1.04), _MULT.format(o=0.68, e=0.90, v=1.03, f=1.0, b=1.0)
 
 
-@query(f"with {Q.SEGMENTS}, {_features()}, b as (select *, case when row_id % 13 = 0 then null else cast(1 + row_id * 7 % 10 as double) end as value from f4) select row_id, turn_index::bigint as turn_index, {q6(f'greatest(1.0, least(10.0, value * greatest(.5, least(1.1, {_VALUE}))))')} as stable, {q6(f'greatest(.5, least(1.1, {_SELECT}))')} as selection_multiplier from b")
+@query(f"with {Q.SEGMENTS}, {_features()}, b as (select *, case when row_id % 13 = 0 then null else cast(1 + row_id * 7 % 10 as double) end as value from f4) select row_id, turn_index::bigint as turn_index, {q6(f'case when value is not null then greatest(1.0, least(10.0, value * greatest(.5, least(1.1, {_VALUE})))) end')} as stable, {q6(f'greatest(.5, least(1.1, {_SELECT}))')} as selection_multiplier from b")
 def value_stability(spark: SparkSession, d: str) -> DataFrame:
     """Value scores by the stage that the slice's own text shows."""
     s = _staged(spark, d).withColumn("value", F.expr("case when row_id % 13 = 0 then null else cast(1 + row_id * 7 % 10 as double) end"))

@@ -114,23 +114,12 @@ def text_signals(spark: SparkSession, d: str) -> DataFrame:
     return t.select("row_id", T.fence_languages(text).alias("fences"), T.framework_languages(text).alias("frameworks"), T.tool_tags(F.col("turns")).alias("tool_tags"), T.behaviours(F.col("turns")).alias("behaviours"), T.code_blocks(text).alias("blocks"), SL.trajectory_object(F.col("turns")).alias("trajectory"))
 
 
-@query()
-def cot_and_sanitize(spark: SparkSession, d: str) -> DataFrame:
-    t = turns(spark, d).select("row_id", F.posexplode("turns").alias("pos", "t")).where("t.from = 'gpt'")
-    return t.select("row_id", "pos", N.cot_text(F.col("t.value")).alias("cot"), F.length(N.strip_cot(F.col("t.value"))).alias("reply_chars"), F.length(N.sanitize(F.col("t.value"))).alias("clean_chars"))
-
 
 @query()
 def conversation_uids(spark: SparkSession, d: str) -> DataFrame:
     return turns(spark, d).select("row_id", N.conversation_uid(F.col("id"), F.col("turns"), F.col("source_file"), F.col("row_id")).alias("uid"))
 
 
-@query()
-def truncated_conversations(spark: SparkSession, d: str) -> DataFrame:
-    """Turns within a budget of 1500 characters."""
-    t = turns(spark, d).select("row_id", T.truncate_turns(F.col("turns"), 1500).alias("kept"))
-    return t.select("row_id", F.size("kept").alias("n_kept"), F.aggregate("kept", F.lit(0), lambda a, x: a + F.length(x["value"])).alias("chars"))
-
 
 @query()
 def turn_windows(spark: SparkSession, d: str) -> DataFrame:
@@ -141,16 +130,6 @@ def turn_windows(spark: SparkSession, d: str) -> DataFrame:
 
 
 
-@query()
-def seeded_sample_rows(spark: SparkSession, d: str) -> DataFrame:
-    """A sampling operator: 100 rows by hash."""
-    return seeded_sample(table(spark, d, "documents").select("doc_id", "source"), "doc_id", 100)
-
-
-@query()
-def stratified_sample_rows(spark: SparkSession, d: str) -> DataFrame:
-    """A sampling operator: rows of each language by hash."""
-    return stratified_sample(table(spark, d, "documents").where("lang is not null").select("doc_id", "lang"), "doc_id", "lang", 200)
 
 
 @query()

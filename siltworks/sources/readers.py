@@ -77,15 +77,19 @@ def normalise(df: DataFrame) -> DataFrame:
 
 def seeded_sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows chosen by a hash of the key: the same at each run."""
-    return df.orderBy(F.xxhash64(F.col(key), F.lit(seed)), key).limit(n)
+    return df.orderBy(_draw(key, seed), key).limit(n)
+
+
+def _draw(key: str, seed: int) -> Column:
+    """A hash of the key and seed that other engines give too."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(f":{seed}")))
 
 
 def stratified_sample(df: DataFrame, key: str, stratum: str, n: int, least: int = 3, seed: int = 42) -> DataFrame:
     """max(least, n / strata) rows of each stratum by hash of the key, then others by hash until there are ``n``."""
     k = df.select(stratum).distinct().count()
-    h = F.xxhash64(F.col(key), F.lit(seed))
     per = max(least, n // max(k, 1))
-    ranked = df.withColumn("_h", h).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key)))
+    ranked = df.withColumn("_h", _draw(key, seed)).withColumn("_r", F.row_number().over(Window.partitionBy(stratum).orderBy("_h", key)))
     return ranked.orderBy(F.col("_r") > per, "_h", key).limit(n).drop("_h", "_r")
 
 

@@ -18,7 +18,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     x, y = F.col(a).alias("u"), F.col(b).alias("v")
     e = cut(edges.select(x, y).where("u is not null and v is not null and u <> v").distinct())
     last = None
-    for _ in range(max_rounds):
+    for k in range(max_rounds + 1):
+        if k == max_rounds:
+            raise RuntimeError(f"components were not done after {max_rounds} rounds")
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         # large star: every neighbour above u goes to the smallest of u and its neighbours
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

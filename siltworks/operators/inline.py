@@ -17,15 +17,16 @@ def embedded(df: DataFrame, key: str, turns: str = "label_turns", require_labels
 
 
 def fold(df: DataFrame, records: DataFrame, key: str, turns: str = "label_turns") -> DataFrame:
-    """Records replace or join the embedded ones of their row by turn_index; rows without records stay."""
+    """Records replace or join the embedded ones of their row by turn_index, of several for one turn the last embedded and
+    the one with the largest fields among ``records``; rows without records stay."""
     fields = ["turn_index", "labels", "inherited", "inherited_from", "value_score"]
     new = records.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col("turn_index")))).alias("_i"), F.collect_list(F.struct(*fields)).alias("_n"))  # one row's turns
     out = df.join(new, key, "left")
     at = F.coalesce(F.transform("_i", lambda x: x["turn_index"]), F.array().cast("array<int>"))
     old = F.filter(F.coalesce(turns, F.array().cast(f"array<{LABEL}>")), lambda t: ~F.array_contains(at, t["turn_index"]))
     both = F.concat(old.cast(f"array<{LABEL}>"), F.coalesce(F.col("_n").cast(f"array<{LABEL}>"), F.array().cast(f"array<{LABEL}>")))
-    by_turn = F.map_from_entries(F.transform(both, lambda t: F.struct(t["turn_index"].alias("k"), t.alias("v"))))
-    return out.withColumn(turns, F.transform(F.array_sort(F.map_keys(by_turn)), lambda k: by_turn[k])).drop("_i", "_n")
+    last = F.aggregate(both, F.array().cast(f"array<{LABEL}>"), lambda acc, t: F.concat(F.filter(acc, lambda x: x["turn_index"] != t["turn_index"]), F.array(t)))
+    return out.withColumn(turns, F.array_sort(last, lambda x, y: F.when(x["turn_index"] < y["turn_index"], -1).when(x["turn_index"] > y["turn_index"], 1).otherwise(0))).drop("_i", "_n")
 
 
 def without_scores(turns: Column) -> Column:

@@ -16,15 +16,16 @@ from siltworks.plans.base import SAMPLES, SLICES, q6, r6, samples, slices
 from siltworks.plans.registry import query
 from siltworks.session import table
 
-_KEY = "case when source_file is not null and source_file <> '' then concat_ws('::', source_file, source_id) else source_id end"
-_W = f"""k as (select *, {_KEY} as ck from slices where source_id is not null),
+_KEY = "case when source_id is null then 'row:' || row_id when source_file is not null and source_file <> '' then concat_ws('::', source_file, source_id) else source_id end"
+_W = f"""k as (select *, {_KEY} as ck from slices),
   w0 as (select *, row_number() over (partition by ck order by turn_index, row_id) as pos, count(*) over (partition by ck) as n from k),
   w as (select *, case when n > 1 then 1 + (pos - 1) / (n - 1)::double else 1.0 end as raw_weight, case when n > 1 then 1 + (pos - 1) / (n - 1)::double else 1.0 end * case when coalesce(inherited, false) then .7 else 1.0 end as weight from w0)"""
 
 
 def keyed(spark: SparkSession, d: str) -> DataFrame:
-    s = slices(spark, d).where("source_id is not null")
-    return s.withColumn("ck", C.conversation_key(F.lit(None).cast("string"), F.col("source_file"), F.col("source_id")))
+    """Every slice with its conversation's key; one without a source id is a conversation of its own."""
+    key = C.conversation_key(F.lit(None).cast("string"), F.when(F.col("source_id").isNotNull(), F.col("source_file")), F.col("source_id"))
+    return slices(spark, d).withColumn("ck", F.coalesce(key, F.concat(F.lit("row:"), F.col("row_id").cast("string"))))
 
 
 def weighted(spark: SparkSession, d: str) -> DataFrame:

@@ -9,6 +9,7 @@ from siltworks.functions import normalize as N
 from siltworks.functions import text as T
 from siltworks.operators import slicing as SL
 from siltworks.operators.trajectory import structure
+from siltworks.plans import sqltext as Q
 from siltworks.plans.base import TURNS, q6, r6, turns
 from siltworks.plans.registry import query
 from siltworks.sources.readers import seeded_sample, stratified_sample
@@ -86,24 +87,20 @@ def language_mix(spark: SparkSession, d: str) -> DataFrame:
     return t.select("row_id", (F.col("pos") + 1).cast("long").alias("pos"), m["dominant"].alias("dominant"), r6(m["zh_ratio"]).alias("zh_ratio"))
 
 
-@query(f"with {TURNS} select row_id, pos::bigint as pos, case when length(value) <= 400 then value else value[1:120] || e'\\n\\n[... content truncated for labeling ...]\\n\\n' || value[-(400 - 120 - {len(T.MARKER)}):] end as value from turns where length(value) > 300 and 400 - 120 - {len(T.MARKER)} >= 200")
+@query(f"with {TURNS} select row_id, pos::bigint as pos, case when length(value) <= 400 then value else value[1:120] || e'\\n\\n[... content truncated for labeling ...]\\n\\n' || value[-(400 - 120 - {len(T.MARKER)}):] end as value from turns")
 def truncate_head_tail(spark: SparkSession, d: str) -> DataFrame:
-    t = turns(spark, d).select("row_id", F.posexplode("turns").alias("pos", "t")).where(F.length("t.value") > 300)
+    t = turns(spark, d).select("row_id", F.posexplode("turns").alias("pos", "t"))
     return t.select("row_id", (F.col("pos") + 1).cast("long").alias("pos"), T.truncate(F.col("t.value"), 400).alias("value"))
 
 
-_GR = "list_distinct(list_filter(list_transform(range(1, greatest(length(t) - 1, 1), greatest((length(t) - 2) // 256, 1))[1:256], lambda i: substr(t, i, 3)), lambda g: trim(g) <> ''))"
-
-
-@query(f"with {TURNS}, h as (select row_id, pos, trim(regexp_replace(lower(value), '\\s+', ' ', 'g')) as t from turns where role = 'human' and not contains(value, chr(160))), p as (select a.row_id, a.pos, a.t as t, lag(a.t) over (partition by a.row_id order by a.pos) as u from h a), g as (select row_id, pos, {_GR} as a, {_GR.replace('length(t)', 'length(u)').replace('substr(t', 'substr(u')} as b from p where length(t) > 3 and length(u) > 3) select row_id, pos::bigint as pos, {q6('len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b)))::double')} as similarity from g")
+@query(f"with {TURNS}, h as (select row_id, pos, {Q.squeezed('value')} as t from turns where role = 'human'), p as (select row_id, pos, t, lag(t) over (partition by row_id order by pos) as u from h), g as (select row_id, pos, {Q.ngrams('t')} as a, {Q.ngrams('u')} as b from p where u is not null) select row_id, pos::bigint as pos, {q6(Q.jaccard('a', 'b'))} as similarity from g")
 def char_ngram_jaccard(spark: SparkSession, d: str) -> DataFrame:
-    """Similarity of each request to the one before it in its conversation."""
-    from pyspark.sql import Window
-
-    t = turns(spark, d).select("row_id", F.posexplode("turns").alias("pos", "t")).where((F.col("t.from") == "human") & ~F.contains("t.value", F.lit("\xa0")))
-    low = F.trim(F.regexp_replace(F.lower("t.value"), r"\s+", " "))
-    x = t.withColumn("v", low).withColumn("u", F.lag("v").over(Window.partitionBy("row_id").orderBy("pos"))).where("length(v) > 3 and length(u) > 3")
-    return x.select("row_id", (F.col("pos") + 1).cast("long").alias("pos"), r6(T.jaccard(T.char_ngrams(F.col("v")), T.char_ngrams(F.col("u")))).alias("similarity"))
+    """Similarity of each request to the one before it in its conversation; null where one of them is empty."""
+    asked = F.filter(F.transform("turns", lambda t, i: F.struct((i + 1).cast("long").alias("pos"), t["from"].alias("from"), T.char_ngrams(t["value"]).alias("g"))), lambda t: t["from"] == "human")
+    t = turns(spark, d).select("row_id", asked.alias("h")).where(F.size("h") > 1)
+    pairs = F.zip_with(F.slice("h", 2, F.size("h")), F.slice("h", 1, F.size("h") - 1), lambda a, b: F.struct(a["pos"].alias("pos"), T.jaccard(a["g"], b["g"]).alias("similarity")))
+    x = t.select("row_id", F.explode(pairs).alias("p"))
+    return x.select("row_id", F.col("p.pos").alias("pos"), r6(F.col("p.similarity")).alias("similarity"))
 
 
 @query()

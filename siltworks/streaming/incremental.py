@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.operators.lookups import upsert
 from siltworks.session import scratch
 
 
@@ -26,19 +25,63 @@ def deduplicated(stream: DataFrame, keys: list[str], at: str, late: str) -> Data
     return stream.withWatermark(at, late).dropDuplicatesWithinWatermark(keys)
 
 
-def upsert_sink(path: str, keys: list[str]) -> Callable[[DataFrame, int], None]:
-    """A foreachBatch sink that keeps the latest row of each key in versioned tables under ``path``; a batch that is repeated writes the same version again."""
+def upsert_sink(path: str, keys: list[str], order: list[str], buckets: int = 64, keep: int = 2) -> Callable[[DataFrame, int], None]:
+    """A foreachBatch sink that keeps the row with the largest ``order`` columns of each key, in a table under ``path`` that is
+    cut into ``buckets`` by a hash of the key.
+
+    A batch rewrites only the buckets that it touches: version v of a bucket is the folder ``bucket=b/v=n``, and the manifest
+    ``manifest/n`` names the version of every bucket after batch n. A manifest is written last, so a batch that failed
+    halfway leaves no trace, and one that is repeated writes the same folders again. Versions that none of the last ``keep``
+    manifests names are removed."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        base = f"{path}/v{batch_id - 1}"
-        old = spark.read.parquet(base) if batch_id > 0 and _exists(spark, base) else None
-        new = batch.dropDuplicates(keys)
-        (upsert(old, new, keys) if old is not None else new).write.mode("overwrite").parquet(f"{path}/v{batch_id}")
+        now = _manifest(spark, path, batch_id - 1)
+        rest = [c for c in batch.columns if c not in keys]
+        new = batch.groupBy(*keys).agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*") if rest else batch.distinct()
+        new = new.withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        touched = sorted(r[0] for r in new.select("_b").distinct().collect())  # at most ``buckets``
+        if not touched:
+            _write_manifest(spark, path, batch_id, now)
+            return
+        old = [f"{path}/bucket={b}/v={now[b]}" for b in touched if b in now]
+        both = new if not old else new.unionByName(spark.read.schema(batch.schema).parquet(*old).withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
+        best = both.groupBy(*keys, "_b").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*", "_b") if rest else both.distinct()
+        best.repartition("_b").withColumnRenamed("_b", "bucket").withColumn("v", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(path + "/")
+        _write_manifest(spark, path, batch_id, now | dict.fromkeys(touched, batch_id))
+        named = {(b, v) for n in range(max(0, batch_id - keep + 1), batch_id + 1) for b, v in _manifest(spark, path, n).items()}
+        for b in touched:
+            if b in now and (b, now[b]) not in named:
+                _delete(spark, f"{path}/bucket={b}/v={now[b]}")
 
     return run
 
 
+def read_upserted(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
+    """The table of :func:`upsert_sink` after a batch."""
+    parts = [f"{path}/bucket={b}/v={v}" for b, v in _manifest(spark, path, batch_id).items()]
+    return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
+
+
+def _fs(spark: SparkSession, path: str):  # noqa: ANN202
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _manifest(spark: SparkSession, path: str, batch_id: int) -> dict[int, int]:
+    at = f"{path}/manifest/{batch_id}"
+    return {r.bucket: r.v for r in spark.read.schema("bucket int, v long").json(at).collect()} if batch_id >= 0 and _exists(spark, at) else {}  # one row a bucket
+
+
+def _write_manifest(spark: SparkSession, path: str, batch_id: int, now: dict[int, int]) -> None:
+    spark.createDataFrame(sorted(now.items()), "bucket int, v long").coalesce(1).write.mode("overwrite").json(f"{path}/manifest/{batch_id}")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -39,13 +39,26 @@ def test_streams(spark, tmp_path):
     src = str(tmp_path / "in")
     spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string").write.json(src)
     stream = spark.readStream.schema("k int, v string").json(src)
-    INC.run_available(stream, INC.upsert_sink(str(tmp_path / "out"), ["k"]))
-    assert spark.read.parquet(str(tmp_path / "out/v0")).count() == 2
+    INC.run_available(stream, INC.upsert_sink(str(tmp_path / "out"), ["k"], ["v"]))
+    assert INC.read_upserted(spark, str(tmp_path / "out"), 0, "k int, v string").count() == 2
     q = INC.tag_counts(stream.select(F.lit("d").alias("dim"), F.col("v").alias("tag"))).writeStream.format("memory").queryName("tagc").outputMode("complete").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination()
     assert spark.table("tagc").count() == 2
 
 
+def test_upsert_sink_keeps_the_latest(spark, tmp_path):
+    out, schema = str(tmp_path / "u"), "k int, at int, v string"
+    sink = INC.upsert_sink(out, ["k"], ["at"], buckets=4)
+    batches = [[(1, 1, "a"), (1, 3, "c"), (2, 1, "x")], [(1, 2, "late"), (3, 1, "n")], [(2, 5, "y"), (2, 4, "w")], []]
+    want = [{1: "c", 2: "x"}, {1: "c", 2: "x", 3: "n"}, {1: "c", 2: "y", 3: "n"}, {1: "c", 2: "y", 3: "n"}]
+    for i, rows in enumerate(batches):
+        for _ in range(2):  # a batch that is repeated changes nothing
+            sink(spark.createDataFrame(rows, schema), i)
+            assert {r.k: r.v for r in INC.read_upserted(spark, out, i, schema).collect()} == want[i]
+    versions = [p for p in (tmp_path / "u").glob("bucket=*/v=*")]
+    assert len(versions) <= 2 * len(list((tmp_path / "u").glob("bucket=*")))  # old versions are gone
+
+
 def test_upsert(spark):
     a, b = spark.createDataFrame([(1, "x"), (2, "y")], "k int, v string"), spark.createDataFrame([(2, "z"), (3, "w")], "k int, v string")
     assert sorted(map(tuple, upsert(a, b, ["k"]).collect())) == [(1, "x"), (2, "z"), (3, "w")]

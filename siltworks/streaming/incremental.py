@@ -29,7 +29,7 @@ def upsert_sink(path: str, keys: list[str], order: list[str], buckets: int = 64,
     """A foreachBatch sink that keeps the row with the largest ``order`` columns of each key, in a table under ``path`` that is
     cut into ``buckets`` by a hash of the key.
 
-    A batch rewrites only the buckets that it touches: version v of a bucket is the folder ``bucket=b/v=n``, and the manifest
+    A batch rewrites only the buckets that it touches: version v of a bucket is the folder ``upsert_bucket=b/upsert_version=n``, and the manifest
     ``manifest/n`` names the version of every bucket after batch n. A manifest is written last, so a batch that failed
     halfway leaves no trace, and one that is repeated writes the same folders again. Versions that none of the last ``keep``
     manifests names are removed."""
@@ -44,22 +44,22 @@ def upsert_sink(path: str, keys: list[str], order: list[str], buckets: int = 64,
         if not touched:
             _write_manifest(spark, path, batch_id, now)
             return
-        old = [f"{path}/bucket={b}/v={now[b]}" for b in touched if b in now]
+        old = [f"{path}/upsert_bucket={b}/upsert_version={now[b]}" for b in touched if b in now]
         both = new if not old else new.unionByName(spark.read.schema(batch.schema).parquet(*old).withColumn("_b", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")))
         best = both.groupBy(*keys, "_b").agg(F.max_by(F.struct(*rest), F.struct(*order)).alias("_r")).select(*keys, "_r.*", "_b") if rest else both.distinct()
-        best.repartition("_b").withColumnRenamed("_b", "bucket").withColumn("v", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "v").parquet(path + "/")
+        best.repartition("_b").withColumnRenamed("_b", "upsert_bucket").withColumn("upsert_version", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("upsert_bucket", "upsert_version").parquet(path + "/")
         _write_manifest(spark, path, batch_id, now | dict.fromkeys(touched, batch_id))
         named = {(b, v) for n in range(max(0, batch_id - keep + 1), batch_id + 1) for b, v in _manifest(spark, path, n).items()}
         for b in touched:
             if b in now and (b, now[b]) not in named:
-                _delete(spark, f"{path}/bucket={b}/v={now[b]}")
+                _delete(spark, f"{path}/upsert_bucket={b}/upsert_version={now[b]}")
 
     return run
 
 
 def read_upserted(spark: SparkSession, path: str, batch_id: int, schema: str) -> DataFrame:
     """The table of :func:`upsert_sink` after a batch."""
-    parts = [f"{path}/bucket={b}/v={v}" for b, v in _manifest(spark, path, batch_id).items()]
+    parts = [f"{path}/upsert_bucket={b}/upsert_version={v}" for b, v in _manifest(spark, path, batch_id).items()]
     return spark.read.schema(schema).parquet(*parts) if parts else spark.createDataFrame([], schema)
 
 

@@ -55,8 +55,8 @@ def test_upsert_sink_keeps_the_latest(spark, tmp_path):
         for _ in range(2):  # a batch that is repeated changes nothing
             sink(spark.createDataFrame(rows, schema), i)
             assert {r.k: r.v for r in INC.read_upserted(spark, out, i, schema).collect()} == want[i]
-    versions = [p for p in (tmp_path / "u").glob("bucket=*/v=*")]
-    assert len(versions) <= 2 * len(list((tmp_path / "u").glob("bucket=*")))  # old versions are gone
+    versions = [p for p in (tmp_path / "u").glob("upsert_bucket=*/upsert_version=*")]
+    assert len(versions) <= 2 * len(list((tmp_path / "u").glob("upsert_bucket=*")))  # old versions are gone
 
 
 def test_upsert(spark):

@@ -1,7 +1,9 @@
 import random
 from datetime import datetime
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from siltworks.llm import charsets, encoding, leakage, replies, truncation
 
@@ -249,6 +251,24 @@ def test_replies(spark):
     assert replies.defects(spark.createDataFrame([], CONV)).collect() == []
 
 
+def test_replies_are_learnt_from_all_rows(spark):
+    """A language that none of the rows of the smallest hashes has is learnt nevertheless."""
+    rng = random.Random(12)
+    words = {"en": "the parser reads each record and writes it to the table while a worker waits for the queue".split(), "de": "der Dienst liest jeden Eintrag und schreibt ihn in die Tabelle während ein Prozess auf die Schlange wartet".split()}
+    make = lambda k: " ".join(rng.choice(words[k]) for _ in range(25)).capitalize() + "."
+    ids = [r.id for r in spark.range(440).orderBy(F.xxhash64("id"), "id").collect()]
+    kinds = [("en", "en")] * 300 + [("de", "de")] * 120 + [("en", "de")] * 10 + [("de", "en")] * 10
+    rows = [conv(("human", make(q)), ("gpt", make(a)), i=i) for i, (q, a) in zip(ids, kinds, strict=True)]
+    got = {(r.row_id, r.defect) for r in replies.defects(spark.createDataFrame(rows, CONV), 200).collect()}
+    assert got <= {(i, "language") for i in ids[420:]} and len(got) >= 14  # from the 200 smallest alone: none of these, and all German replies as refusals
+
+
+def test_a_small_mixed_cluster_joins_no_languages():
+    languages = replies.Languages([], [], k=3)
+    languages.link(np.array([[900.0, 4, 20], [5, 300, 15], [25, 10, 3]]))  # the third has texts of both others
+    assert languages.group[0] != languages.group[1] and languages.group[2] == languages.group[0]
+
+
 def test_classifier_on_held_out_defects():
     rng = random.Random(6)
     nouns = "table buffer worker file queue record archive parser module index".split()

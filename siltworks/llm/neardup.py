@@ -9,8 +9,9 @@ counted per pair and pairs with at least MATCHES of them are kept, then checked
   however large, come together in this linear step;
 * prefix and skip merge for what is left: lists whose members are already in one group are skipped. A pair in different
   groups with MATCHES collisions has them all in the remaining lists, so the first of them stands among the rarest
-  r - MATCHES + 1 lists of either document (r: the document's remaining lists), the second among one more. Collisions are
-  counted in these prefixes, over the lists of at most LONG_LIST members;
+  r - MATCHES + 1 lists of either document (r: the document's remaining lists). In these prefixes, over the lists of at most
+  LONG_LIST members, documents meet; with each goes one byte of each of its coordinates, and a pair that has fewer than
+  MATCHES bytes in common, so fewer collisions too, goes no further than the list where it meets;
 * block merge: pairs whose first common list is longer have longer ones only in common. Such lists are cut into blocks of
   BLOCK members, and every two blocks meet in one task that counts common lists and common shingles of all their pairs at
   once. Documents that have too few shingles in common with all others together go before. No list or partner is dropped.
@@ -74,7 +75,12 @@ def _signatures(coords: int, k: int):  # noqa: ANN202
             for j in range(coords if len(first) else 0):
                 sig[:, j] = mix(np.minimum.reduceat(h * mul[j] + add[j], first) + np.uint64(j))
             offsets = np.concatenate([[0], np.cumsum(has * coords)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.view(np.int64).ravel()))], names=["row_id", "whole", "sig"])
+            words = -(-coords // 8)
+            code = np.zeros((len(first), words * 8), np.uint8)
+            code[:, :coords] = (sig >> np.uint64(56)).astype(np.uint8)
+            starts = np.concatenate([[0], np.cumsum(has * words)]).astype(np.int32)
+            code = pa.ListArray.from_arrays(pa.array(starts), pa.array(code.view(np.int64).ravel()))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.ListArray.from_arrays(pa.array(offsets), pa.array(sig.view(np.int64).ravel())), code], names=["row_id", "whole", "sig", "code"])
 
     return run
 
@@ -122,7 +128,7 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
     """
     spark = df.sparkSession
     docs = conversations(df)
-    sig = written(docs.select("row_id", "texts", "whole").mapInArrow(_signatures(coords, k), "row_id long, whole string, sig array<long>"), "sig")
+    sig = written(docs.select("row_id", "texts", "whole").mapInArrow(_signatures(coords, k), "row_id long, whole string, sig array<long>, code array<long>"), "sig")
     same = sig.groupBy("whole").agg(F.min("row_id").alias("rep"), F.count("*").alias("n")).where("n > 1").select("whole", "rep")
     copies = cut(sig.select("row_id", "whole").join(same, "whole").select("row_id", "rep"))
     reps = sig.join(copies.where("row_id <> rep"), "row_id", "left_anti")
@@ -137,7 +143,7 @@ def groups(df: DataFrame, coords: int = COORDS, matches: int = MATCHES, common:
     comp = cut(connected_components(edges))
     release(spark)
 
-    more = residual_pairs(docs, lists, comp, matches, long_list, common, check_k)
+    more = residual_pairs(docs, lists, comp, sig.select(F.col("row_id").alias("doc"), "code"), coords, matches, long_list, common, check_k)
     discard(lists)
     if more is not None:
         release(spark)
@@ -224,7 +230,18 @@ def _block_pairs(docs: DataFrame, per: DataFrame, hot: DataFrame, matches: int,
     return cells.groupBy("k", "x", "y").applyInPandas(_meet(matches, common), "a long, b long")
 
 
-def residual_pairs(docs: DataFrame, lists: DataFrame, comp: DataFrame, matches: int, long_list: int, common: float, k: int, block: int = BLOCK) -> DataFrame | None:
+def _agree(a: list[F.Column], b: list[F.Column], coords: int) -> F.Column:
+    """How many bytes the numbers ``a`` and ``b`` have in common, without those that fill the last number up: at least as many as the coordinates that are equal."""
+    out = F.lit(coords)
+    for x, y in zip(a, b, strict=True):
+        z = x.bitwiseXOR(y)
+        for n in (4, 2, 1):
+            z = z.bitwiseOR(F.shiftrightunsigned(z, n))
+        out = out - F.bit_count(z.bitwiseAND(F.lit(0x0101010101010101)))  # the lowest bit of each byte that isn't 0
+    return out
+
+
+def residual_pairs(docs: DataFrame, lists: DataFrame, comp: DataFrame, codes: DataFrame, coords: int, matches: int, long_list: int, common: float, k: int, block: int = BLOCK) -> DataFrame | None:
     """Pairs (a, b) in different components with at least ``matches`` common lists, None if there are none; of those that
     have only lists of more than ``long_list`` members in common, as many as join the components of all that are alike."""
     c = comp.select(F.col("node").alias("doc"), F.col("component").alias("comp"))
@@ -233,17 +250,16 @@ def residual_pairs(docs: DataFrame, lists: DataFrame, comp: DataFrame, matches:
     per = own.join(open_, "k", "left_semi").groupBy("doc", "comp").agg(F.sort_array(F.collect_list(F.struct("c", "k"))).alias("cks"))  # at most COORDS lists a document
     per = cut(per.where(F.size("cks") >= matches))
 
-    def prefix(level: int) -> F.Column:
-        return F.slice("cks", 1, F.size("cks") - matches + level)
-
-    # two common lists in the prefixes: counted in the lists of bounded length; one will do if the other may be a longer list
-    posts = per.select("doc", "comp", F.exists(prefix(2), lambda s: s["c"] > long_list).alias("long"), F.explode(F.filter(prefix(2), lambda s: s["c"] <= long_list)).alias("s"))
-    posts = posts.select("doc", "comp", "long", F.col("s.k").alias("k"))
-    right = posts.select(F.col("doc").alias("b"), F.col("comp").alias("cb"), F.col("long").alias("lb"), "k")
-    met = posts.select(F.col("doc").alias("a"), F.col("comp").alias("ca"), F.col("long").alias("la"), "k").join(right, "k").where("a < b and ca <> cb")
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("n"), F.max(F.col("la") & F.col("lb")).alias("l")).where("n > 1 or l").select("a", "b")
-    # the first common list is a longer one, so all are
-    hot = cut(per.select("doc", "comp", F.explode(F.filter(prefix(1), lambda s: s["c"] > long_list)).alias("s")).select("doc", "comp", F.col("s.k").alias("k")))
+    first = F.slice("cks", 1, F.size("cks") - matches + 1)  # the first common list of a pair is in this prefix of both
+    # it is of bounded length: the pair meets there
+    words = range(-(-coords // 8))
+    posts = per.join(codes, "doc").select("doc", "comp", *[F.get("code", F.lit(i)).alias(f"o{i}") for i in words], F.explode(F.filter(first, lambda s: s["c"] <= long_list)).alias("s"))
+    posts = posts.select("doc", "comp", *[f"o{i}" for i in words], F.col("s.k").alias("k"))
+    right = posts.select(F.col("doc").alias("b"), F.col("comp").alias("cb"), *[F.col(f"o{i}").alias(f"p{i}") for i in words], "k")
+    met = posts.withColumnRenamed("doc", "a").join(right, "k").where("a < b and comp <> cb")
+    pairs = met.where(_agree([F.col(f"o{i}") for i in words], [F.col(f"p{i}") for i in words], coords) >= matches).select("a", "b")
+    # it is a longer one, so all are
+    hot = cut(per.select("doc", "comp", F.explode(F.filter(first, lambda s: s["c"] > long_list)).alias("s")).select("doc", "comp", F.col("s.k").alias("k")))
     if not hot.isEmpty():
         pairs = pairs.union(_block_pairs(docs, per, hot, matches, common, k, block))
     ks = per.select("doc", F.transform("cks", lambda s: s["k"]).alias("ks"))

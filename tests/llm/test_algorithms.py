@@ -112,6 +112,28 @@ def test_near_duplicates_with_scattered_edits(spark):
     assert len(alike) > 200 and found >= 0.95 * len(alike)
 
 
+def test_near_duplicates_send_no_pairs_that_have_too_little_in_common(spark):
+    """Rows with half of their text in common with 250 others each, but never enough: no stage shuffles more rows than there are coordinates, whatever number of pairs meets."""
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n))
+    common = [words(250) for _ in range(4)]
+    rows = [(i, [("human", common[i % 4]), ("gpt", words(150))]) for i in range(1000)]
+    df = spark.createDataFrame(rows, "row_id long, conversations array<struct<from:string,value:string>>")
+
+    store = spark.sparkContext._jsc.sc().statusStore()
+
+    def sent() -> dict[int, int]:
+        """Rows that each stage shuffled."""
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), None)
+        return {stages.apply(i).stageId(): stages.apply(i).shuffleWriteRecords() for i in range(stages.size())}
+
+    before = sent()
+    assert len({r.group_id for r in neardup.groups(df, matches=19, common=0.8).collect()}) == 1000
+    most = max(n for i, n in sent().items() if i not in before)
+    assert most <= 32 * len(rows)  # a row for each coordinate
+
+
 def test_overlaps():
     rng = np.random.default_rng(7)
     sets = [np.unique(rng.integers(0, 60, rng.integers(0, 40))) for _ in range(30)]

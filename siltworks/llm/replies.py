@@ -528,7 +528,7 @@ def _classify(model: Model):  # noqa: ANN202
 
 def _cut_at(row: int, pos: int, n: int) -> tuple[int, bool]:
     """Where the cut copy of a reply of n characters ends, and whether it counts as cut at a field limit: by a hash of its place."""
-    h = int(mix(np.array([row & (2**64 - 1)], np.uint64) + mix(np.array([pos + 1], np.uint64)))[0])
+    h = int(mix(np.array([(row or 0) & (2**64 - 1)], np.uint64) + mix(np.array([pos + 1], np.uint64)))[0])
     return 15 + h % (n - 23), (h >> 40) % 6 == 0
 
 
@@ -556,10 +556,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], rows: int, folds: int = 2) -> Ite
         for lo in range(0, b.num_rows, 400):
             part = b.slice(lo, 400)
             for i, r, v, e, c in zip(*(part.column(k).to_pylist() for k in range(5)), strict=True):
-                fold = int(mix(np.array([i & (2**64 - 1)], np.uint64))[0] >> np.uint64(32)) % folds
+                fold = int(mix(np.array([(i or 0) & (2**64 - 1)], np.uint64))[0] >> np.uint64(32)) % folds
                 own = held[fold]
                 early, why = {x["turn_pos"]: x["evidence"] for x in e or ()}, {x["turn_pos"]: x["evidence"] for x in c or ()}
-                own[0], own[2] = own[0] + 1, own[2] or i & 0x7FFFFFFF
+                own[0], own[2] = own[0] + 1, own[2] or (i or 0) & 0x7FFFFFFF
                 for p, q, a, short, limit in _sound(i, r, v):
                     own[1] += len(q) + len(a)
                     own[3].append((q, a, early.get(p)))

@@ -263,6 +263,12 @@ def test_replies_are_learnt_from_all_rows(spark):
     assert got <= {(i, "language") for i in ids[420:]} and len(got) >= 14  # from the 200 smallest alone: none of these, and all German replies as refusals
 
 
+def test_replies_of_few_rows_and_no_id(spark):
+    q = "How do I read the table when the buffer is full?"
+    rows = [conv(("human", q), ("gpt", "Read it by the index of each record and then close the file."), i=-5), conv(("human", q), ("gpt", None), i=None)]
+    assert [tuple(r) for r in replies.defects(spark.createDataFrame(rows, CONV)).collect()] == [(None, 1, "empty")]
+
+
 def test_a_small_mixed_cluster_joins_no_languages():
     languages = replies.Languages([], [], k=3)
     languages.link(np.array([[900.0, 4, 20], [5, 300, 15], [25, 10, 3]]))  # the third has texts of both others

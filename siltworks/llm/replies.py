@@ -20,6 +20,8 @@ from __future__ import annotations
 import random
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -49,7 +51,9 @@ _FENCE = re.compile(r"```.*?(?:```|$)", re.DOTALL)
 _TICK = re.compile(r"`[^`\n]*`")
 _LINES = re.compile(r"^[ \t]*(?:[^\w\s\"'¿¡«“(*>-].*|.*[_:=/\\]\w.*|\d.*)$", re.MULTILINE)  # lines of code, paths, figures: no prose
 _MARKS = re.compile(r"</?think>|```\w*|[\s​-‏⁠﻿­\u0000-\u001f ㅤ]+", re.IGNORECASE)
+_BARE = re.compile(rf"(?>{_MARKS.pattern})*+", re.IGNORECASE)
 _NOT_WORD = re.compile(r"[\W_]+")
+_M = 2**64 - 1
 #: Phrases from which training data are made: refusals (beginning, reason, end), and requests for an answer in a language.
 REFUSALS = {
     "en": (["I'm sorry, but I can't help with that", "I cannot assist with this request", "I can’t comply with that", "Sorry, I am unable to answer this", "Unfortunately I am not able to provide this", "I must decline this request", "I won't be able to help here", "I'd rather not work on this one", "As an AI, I cannot provide that", "I am not allowed to discuss this", "That is something I can't do"], ["", ", since it goes against my guidelines", " for policy reasons", " at this time", " because I have no access to that", " as it may be unsafe"], ["", " Please consult a professional.", " Feel free to ask something else.", " Thank you for understanding.", " Is there anything else?"]),
@@ -76,7 +80,7 @@ def answer(v: str | None) -> str:
 
 def bare(v: str | None) -> bool:
     """Null, or nothing beside white space, invisible characters and think or code marks."""
-    return v is None or not _MARKS.sub("", v)
+    return v is None or _BARE.fullmatch(v) is not None
 
 
 def prose(t: str) -> str:
@@ -89,13 +93,37 @@ def prose(t: str) -> str:
     return _LINES.sub(" ", t) if "\n" in t or t[:1] in "{[" else t
 
 
+_tables: dict[str, np.ndarray] = {}
+
+
+def _letter() -> np.ndarray:
+    """By code point: the letter itself, a blank for what is none."""
+    if "letter" not in _tables:
+        code = np.arange(0x110000, dtype=np.uint64)
+        _tables["letter"] = np.where((classes() > 0) & ~((code >= 48) & (code <= 57)), code, np.uint64(32))
+    return _tables["letter"]
+
+
+def letters(texts: list[str]) -> list[str]:
+    """The texts in lower case without what :data:`_NOT_WORD` finds."""
+    if "alnum" not in _tables:
+        _tables["alnum"] = np.zeros(0x110000, bool)
+        _tables["alnum"][[i for i in range(0x40000) if chr(i).isalnum()]] = True
+    low = [t.lower() for t in texts]
+    code = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
+    keep = _tables["alnum"][code]
+    kept = code[keep].tobytes().decode("utf-32-le")
+    at = np.concatenate([[0], np.cumsum(keep)])[np.cumsum([0, *map(len, low)])].tolist()
+    return [kept[i:j] for i, j in zip(at, at[1:], strict=False)]
+
+
 def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashed character trigrams over letters, any run of other characters being one blank, and the text of each."""
     low = [f" {t.lower()} " for t in texts]
     code = np.frombuffer("".join(low).encode("utf-32-le", "surrogatepass"), np.uint32)
     of = np.repeat(np.arange(len(low)), [len(t) for t in low])
-    letter = (classes()[code] > 0) & ~((code >= 48) & (code <= 57))
-    sym = np.where(letter, code, 32).astype(np.uint64)
+    sym = _letter()[code]
+    letter = sym != 32
     keep = np.concatenate([[True], letter[1:] | letter[:-1] | (of[1:] != of[:-1])]) if len(sym) else np.zeros(0, bool)
     sym, of = sym[keep], of[keep]
     if len(sym) < 3:
@@ -105,6 +133,11 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (mix(h[ok]) >> np.uint64(64 - GRAM_BITS)).astype(np.int64), of[:-2][ok]
 
 
+def _score(table: np.ndarray, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """The sums of each text's rows of ``table``, column by column, so that one column is in the cache."""
+    return np.stack([np.add.reduceat(column.take(ids), first) for column in np.ascontiguousarray(table.T)], 1)
+
+
 def unlike(texts: list[str], times: np.ndarray, k: int, rng: np.random.Generator) -> tuple[list[int], np.ndarray]:
     """k of the texts, each drawn by how little it is like those before and how many texts it stands for (``times``); and how like each text is to each of them."""
     ids, of = trigrams(texts)
@@ -149,7 +182,7 @@ class Languages:
         size, times = np.diff(np.append(first, len(of))), times[has]
         for _ in range(rounds):
             self.refit(self._sums(ids, size, own * times[:, None]), (own * times[:, None]).sum(0))
-            score = np.add.reduceat(self.table[ids], first, axis=0) + self.prior
+            score = _score(self.table, ids, first) + self.prior
             most = score.max(1, keepdims=True)
             new = np.exp(score - most)
             self.fit = float((times[:, None] * (np.log(new.sum(1, keepdims=True)) + most)).sum())
@@ -181,13 +214,16 @@ class Languages:
 
     def step(self, texts: list[str], least: int = 12) -> tuple[np.ndarray, np.ndarray, float, np.ndarray]:
         """What :meth:`refit` needs of these texts, by the clusters so far: trigrams and texts of each cluster; the texts' log likelihood; and the cluster of each text."""
+        if len(texts) > PART:
+            parts = [self.step(texts[i : i + PART], least) for i in range(0, len(texts), PART)]
+            return sum(p[0] for p in parts), sum(p[1] for p in parts), sum(p[2] for p in parts), np.concatenate([p[3] for p in parts])
         ids, of = trigrams(texts)
         k, best = len(self.prior), np.full(len(texts), -1)
         if not len(ids):
             return np.zeros((2**GRAM_BITS, k)), np.zeros(k), 0.0, best
         has, first = np.unique(of, return_index=True)
         size = np.diff(np.append(first, len(of)))
-        plain = np.add.reduceat(self.table[ids], first, axis=0)
+        plain = _score(self.table, ids, first)
         score = plain + self.prior
         most = score.max(1, keepdims=True)
         own = np.exp(score - most)
@@ -233,7 +269,7 @@ class Languages:
         if not len(ids):
             return out
         has, first = np.unique(of, return_index=True)
-        score = np.add.reduceat(self.table[ids], first, axis=0)
+        score = _score(self.table, ids, first)
         long_ = np.diff(np.append(first, len(of))) >= least
         out[has[long_]] = self.group[score.argmax(1)[long_]]
         return out
@@ -255,13 +291,61 @@ DENSE = ("bias", "bare", "inside", "share", "most", "added", "apart", "near", "u
 Pair = tuple[str | None, str | None, str | None]  # question, reply, evidence of an early stop
 
 
-def _each(ids: np.ndarray, of: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ids of text ``at[i]`` for every i, and that i; ``ids`` are those of n texts, ``of`` their texts."""
-    order = np.argsort(of, kind="stable")
-    start = np.searchsorted(of[order], np.arange(n + 1))
-    size = np.diff(start)[at]
-    where = np.arange(size.sum()) + np.repeat(start[at] - np.cumsum(size) + size, size)
-    return ids[order][where], np.repeat(np.arange(len(at), dtype=np.int32), size)
+class Texts:
+    """What the classifier reads of texts, each text once: of replies, or of questions."""
+
+    def __init__(self, languages: Languages, questions: bool = False) -> None:
+        self.languages, self.questions, self.at = languages, questions, {}
+        self.language, self.words, self.letters = np.zeros(0, np.int64), np.zeros(0, np.int64), []
+        self.form = np.zeros((0, 3), bool)  # bare, code, call
+        self.ids, self.size = np.zeros(0, np.int32), np.zeros(0, np.int64)  # n-grams of replies, text after text
+
+    def look(self, texts: list[str | None]) -> np.ndarray:
+        """The place of each text; those not seen before are read."""
+        seen, at = len(self.at), self.at
+        out = np.array([at.setdefault(t, len(at)) for t in texts], np.int64)
+        new = list(islice(at, seen, None))
+        parts = [self._read(new[i : i + PART]) for i in range(0, len(new), PART)]
+        for name, got in zip(("language", "words", "form", "ids", "size"), zip(*parts, strict=True), strict=False):
+            setattr(self, name, np.concatenate([getattr(self, name), *got]))
+        return out
+
+    def _read(self, texts: list[str | None]) -> tuple[np.ndarray, ...]:
+        whole = texts if self.questions else [answer(a) for a in texts]
+        plain = [prose(t) for t in whole]
+        self.letters += letters(whole)
+        language = self.languages.of(plain)
+        if self.questions:
+            return (language,)
+        words, ids, size = grams(plain, 0)
+        return language, words, np.array([(bare(t), "`" in a, "<tool_call>" in a) for t, a in zip(texts, whole, strict=True)], bool).reshape(-1, 3), ids, size
+
+
+def grams(texts: list[str], base: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of each text; hashed ids of its words and pairs of words, text after text, and how many each has."""
+    t = tokenize(texts)
+    words = np.bincount(t.doc, minlength=len(texts))
+    two = np.maximum(words - 1, 0)
+    out = np.zeros(len(t.h) + two.sum(), np.int32)
+    if len(t.h):
+        hid = lambda h: (mix(h) >> np.uint64(65 - BITS)).astype(np.int32) + np.int32(base)
+        same = t.doc[:-1] == t.doc[1:]
+        out[np.arange(len(t.h)) + (np.cumsum(two) - two)[t.doc]] = hid(t.h)
+        out[np.arange(two.sum()) + np.cumsum(words)[t.doc[:-1][same]]] = hid((t.h[:-1] * np.uint64(0x9E3779B97F4A7C15) + t.h[1:])[same])
+    return words, out, words + two
+
+
+@dataclass
+class Features:
+    """Of pairs: ``dense`` features, and which texts' n-grams count (``text`` of ``pair``): the reply's, then the question's where the languages
+    differ. Of these texts: hashed ``ids``, which begin at ``start``, and the ``weight`` of one."""
+
+    dense: np.ndarray
+    text: np.ndarray
+    pair: np.ndarray
+    ids: np.ndarray
+    start: np.ndarray
+    weight: np.ndarray
 
 
 class Model:
@@ -271,59 +355,38 @@ class Model:
         self.languages = languages
         self.dense, self.hashed, self.at = np.zeros((len(DENSE), len(LABELS)), np.float32), np.zeros((2**BITS, len(LABELS)), np.float32), np.zeros(len(LABELS))
 
-    def features(self, pairs: list[Pair]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Dense features of the pairs; hashed n-gram ids, and the pair of each."""
-        if len(pairs) > PART:
-            parts = [self.features(pairs[i : i + PART]) for i in range(0, len(pairs), PART)]
-            of = [p[2] + i * PART for i, p in enumerate(parts)]
-            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate(of)
-        asked, replied = {}, {}  # texts that stand in several pairs are read once
-        at_q = np.array([asked.setdefault(q or "", len(asked)) for q, _, _ in pairs], np.int64)
-        at_a = np.array([replied.setdefault(a, len(replied)) for _, a, _ in pairs], np.int64)
-        answers = [answer(a) for a in replied]
-        plain, ask = [prose(a) for a in answers], [prose(q) for q in asked]
-        la, lq = self.languages.of(plain)[at_a], self.languages.of(ask)[at_q]
+    def features(self, pairs: list[Pair], replied: Texts | None = None, asked: Texts | None = None) -> Features:
+        """Features of the pairs; ``replied`` and ``asked`` may hold texts read before."""
+        replied, asked = replied or Texts(self.languages), asked or Texts(self.languages, True)
+        at_a, at_q = replied.look([a for _, a, _ in pairs]), asked.look([q or "" for q, _, _ in pairs])
+        la, lq, n = replied.language[at_a], asked.language[at_q], replied.words[at_a]
         together = np.where((la >= 0) & (lq >= 0), self.languages.together[lq, la], 0.0)
-        t = tokenize(plain)
-        n = (np.bincount(t.doc, minlength=len(plain)) if len(t.h) else np.zeros(len(plain)))[at_a]
-        letters_q, letters_a = [_NOT_WORD.sub("", q.lower()) for q in asked], [_NOT_WORD.sub("", a.lower()) for a in answers]
-        none, code, call = [bare(a) for a in replied], ["`" in a for a in answers], ["<tool_call>" in a for a in answers]
         dense = np.zeros((len(pairs), len(DENSE)), np.float32)
-        for i, (x, y, (_, _, e)) in enumerate(zip(at_q, at_a, pairs, strict=True)):
-            inside, share, added = _over(letters_q[x], letters_a[y])
-            dense[i, :6] = 1, none[y], inside, share, share > 0.7, added
-            dense[i, 10:12] = code[y], call[y]
-            if e:
-                dense[i, len(DENSE) - len(EVIDENCE) + EVIDENCE.index(e)] = 1
+        over = np.array([_over(asked.letters[x], replied.letters[y]) for x, y in zip(at_q.tolist(), at_a.tolist(), strict=True)]).reshape(-1, 3)
+        dense[:, 0], dense[:, 2:4], dense[:, 4], dense[:, 5] = 1, over[:, :2], over[:, 1] > 0.7, over[:, 2]
+        dense[:, [1, 10, 11]] = replied.form[at_a]
         dense[:, 6], dense[:, 7], dense[:, 8] = np.clip(-together, 0, 3) / 3, np.clip(together, 0, 3) / 3, (la < 0) | (lq < 0)
         dense[:, 9], dense[:, 12] = n < 12, np.minimum(n, 100) / 50
-        ids, of = _each(*self._grams(t, 0), at_a, len(plain))
-        apart = np.nonzero(together < 0)[0]
-        if len(apart):  # what a question asks for matters where the languages differ
-            own, at = np.unique(at_q[apart], return_inverse=True)
-            texts = list(asked)
-            i2, o2 = _each(*self._grams(tokenize([texts[i] for i in own]), 2 ** (BITS - 1)), at, len(own))
-            ids, of = np.concatenate([ids, i2]), np.concatenate([of, apart[o2].astype(np.int32)])
-        return dense, ids, of
-
-    @staticmethod
-    def _grams(t, base: int) -> tuple[np.ndarray, np.ndarray]:  # noqa: ANN001
-        if not len(t.h):
-            return np.zeros(0, np.int32), np.zeros(0, np.int32)
-        two = t.h[:-1] * np.uint64(0x9E3779B97F4A7C15) + t.h[1:]
-        same = t.doc[:-1] == t.doc[1:]
-        hid = lambda h: (mix(h) >> np.uint64(65 - BITS)).astype(np.int64) + base
-        return np.concatenate([hid(t.h), hid(two[same])]).astype(np.int32), np.concatenate([t.doc, t.doc[:-1][same]]).astype(np.int32)
-
-    def raw(self, f: tuple[np.ndarray, np.ndarray, np.ndarray]) -> np.ndarray:
+        why = [(i, EVIDENCE.index(e)) for i, (_, _, e) in enumerate(pairs) if e]
+        if why:
+            i, e = np.array(why).T
+            dense[i, len(DENSE) - len(EVIDENCE) + e] = 1
+        apart = np.nonzero(together < 0)[0]  # what a question asks for matters where the languages differ
+        own, at = np.unique(at_q[apart], return_inverse=True)
+        texts = list(asked.at) if len(own) else []
+        parts = [grams([texts[i] for i in own[lo : lo + PART]], 2 ** (BITS - 1))[1:] for lo in range(0, len(own), PART)]
+        ids, size = np.concatenate([replied.ids, *[p[0] for p in parts]]), np.concatenate([replied.size, *[p[1] for p in parts]])
+        weight = np.concatenate([1 / np.maximum(replied.size, 1), np.full(len(own), 1 / ASKING)])
+        return Features(dense, np.concatenate([at_a, at + len(replied.size)]), np.concatenate([np.arange(len(pairs)), apart]), ids, np.concatenate([[0], np.cumsum(size)]), weight)
+
+    def raw(self, f: Features) -> np.ndarray:
         """Scores; n-grams of a reply count as their mean, those of a question as their sum over ASKING."""
-        d, ids, of = f
-        out = d @ self.dense
-        for upper in (False, True):
-            own = (ids >= 2 ** (BITS - 1)) == upper
-            n = np.full(len(d), ASKING) if upper else np.maximum(np.bincount(of[own], minlength=len(d)), 1)
-            for k in range(len(LABELS)) if own.any() else ():
-                out[:, k] += np.bincount(of[own], weights=self.hashed[ids[own], k], minlength=len(d)) / n
+        out = np.einsum("ij,jk->ik", f.dense, self.dense)  # not by threads that wait for each other
+        n = len(f.weight)
+        of = np.repeat(np.arange(n), np.diff(f.start))
+        for k in range(len(LABELS)):
+            text = np.bincount(of, weights=self.hashed[:, k][f.ids], minlength=n) * f.weight
+            out[:, k] += np.bincount(f.pair, weights=text[f.text], minlength=len(out))
         return out
 
     def scores(self, pairs: list[Pair]) -> np.ndarray:
@@ -336,19 +399,21 @@ def _refusal(rng: random.Random, lang: str) -> str:
     return x.replace("'", "’") if rng.random() < 0.2 else x
 
 
+_COPIES = (lambda s: s, str.upper, str.lower, lambda s: f'"{s}"', lambda s: f"> {s}", lambda s: f"Question: {s}", lambda s: s.replace(" ", "  "), lambda s: s.rstrip(".?!。？！"), lambda s: f"You asked: {s}", lambda s: f"{s}\n\n{s}")
+
+
 def _copy(rng: random.Random, q: str) -> str:
-    return rng.choice((lambda s: s, str.upper, str.lower, lambda s: f'"{s}"', lambda s: f"> {s}", lambda s: f"Question: {s}", lambda s: s.replace(" ", "  "), lambda s: s.rstrip(".?!。？！"), lambda s: f"You asked: {s}", lambda s: f"{s}\n\n{s}"))(q)
+    return rng.choice(_COPIES)(q)
 
 
 def _empty(rng: random.Random) -> str | None:
     return rng.choice((None, "", " ", "\n\n", "​", "<think>\n\n</think>", "<think></think>\n", "```\n```", "```python\n\n```"))
 
 
-def synthesise(pairs: list[Pair], languages: Languages, seed: int = 7) -> tuple[list[Pair], np.ndarray, np.ndarray]:
-    """Labelled pairs: each real pair, taken as sound, one copy of it with each synthetic defect, and sound ones that look alike; and which are the real ones."""
+def synthesise(pairs: list[Pair], languages: Languages, seed: int = 7, known: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[list[Pair], np.ndarray, np.ndarray]:
+    """Labelled pairs: each real pair, taken as sound, one copy of it with each synthetic defect, and sound ones that look alike; and which are the real ones. ``known``: the languages of the replies and of the questions."""
     rng, out, y, real = random.Random(seed), [], [], []
-    of = languages.of([prose(answer(a)) for _, a, _ in pairs])
-    asks = languages.of([prose(q or "") for q, _, _ in pairs])
+    of, asks = known or (languages.of([prose(answer(a)) for _, a, _ in pairs]), languages.of([prose(q or "") for q, _, _ in pairs]))
     long_ = [i for i, (_, a, _) in enumerate(pairs) if of[i] >= 0 and len(a or "") > 60]
     names = list(REFUSALS)
 
@@ -387,43 +452,41 @@ def cuts(pairs: list[Pair], seed: int = 11) -> list[Pair]:
 
 
 class Examples:
-    """Labelled pairs of a block as arrays: n-gram ids sorted by pair, labels, and which are real."""
+    """Labelled pairs of a block as arrays: features, labels, and which are real."""
 
     def __init__(self, pairs: list[Pair], cut: list[Pair], languages: Languages, seed: int = 7) -> None:
-        examples, self.y, self.real = synthesise(pairs, languages, seed)
+        replied, asked = Texts(languages), Texts(languages, True)
+        at_a, at_q = replied.look([a for _, a, _ in pairs]), asked.look([q or "" for q, _, _ in pairs])
+        examples, self.y, self.real = synthesise(pairs, languages, seed, (replied.language[at_a], asked.language[at_q]))
         cut = [c for c in cut if c[2]]  # one that happens to end with a sentence is no early stop
         if cut:
             examples, self.real = examples + cut, np.concatenate([self.real, np.zeros(len(cut), bool)])
             self.y = np.concatenate([self.y, np.tile([k == "truncated" for k in LABELS], (len(cut), 1)).astype(np.float32)])
         self.size = len(examples)
-        if not examples:
-            return
-        d, ids, of = Model(languages).features(examples)
-        order = np.argsort(of, kind="stable")
-        self.f = d, ids[order], of[order]
-        _, ids, of = self.f
-        self.start = np.searchsorted(of, np.arange(self.size + 1))
-        upper = ids >= 2 ** (BITS - 1)
-        n = np.where(upper, ASKING, np.maximum(np.bincount(of[~upper], minlength=self.size), 1)[of])
-        self.weight = (1 / n).astype(np.float32)
+        if examples:
+            self.f = Model(languages).features(examples, replied, asked)
 
 
 class Descent:
     """Weights of a model on their way, with their sums of squared gradients and the sum of the later epochs' weights."""
 
     def __init__(self, seed: int = 3) -> None:
-        self.wd, self.wh = np.zeros((len(DENSE), len(LABELS))), np.zeros((2**BITS, len(LABELS)))
+        self.wd, self.wh = np.zeros((len(DENSE), len(LABELS))), np.zeros((len(LABELS), 2**BITS))
         self.md, self.mh = np.full_like(self.wd, 1e-6), np.full_like(self.wh, 1e-6)
         self.sd, self.sh, self.times = np.zeros_like(self.wd), np.zeros_like(self.wh), 0
         self.rng = np.random.default_rng(seed)
 
     def into(self, model: Model, mean: bool = True) -> Model:
-        model.dense, model.hashed = (self.sd / max(self.times, 1), self.sh / max(self.times, 1)) if mean else (self.wd, self.wh)
+        model.dense, model.hashed = (self.sd / max(self.times, 1), (self.sh / max(self.times, 1)).T) if mean else (self.wd, self.wh.T)
         return model
 
     def learn(self, x: Examples, model: Model, use: np.ndarray, epochs: int, batch: int) -> np.ndarray:
         """``epochs`` over the examples in ``use``. Halfway, what is taken as sound but looks defective: real refusals, copies and early stops become examples, the others are left out. Returns what looks so."""
-        d, ids, _ = x.f
+        f, d = x.f, x.f.dense
+        asking = f.text[x.size :]  # the texts of questions that count, by pair
+        ask = np.full(x.size, -1)
+        ask[f.pair[x.size :]] = asking
+        decay = np.where(np.arange(2**BITS) >= 2 ** (BITS - 1), 1e-4, 1e-6)
         odd = np.zeros(x.size, bool)
         for epoch in range(epochs):
             if epoch == epochs // 2:
@@ -435,22 +498,29 @@ class Descent:
             rows = self.rng.permutation(np.nonzero(use)[0])
             for lo in range(0, len(rows), batch):
                 r = rows[lo : lo + batch]
-                size = x.start[r + 1] - x.start[r]
-                at = np.repeat(np.arange(len(r)), size)
-                span = np.arange(len(at)) + np.repeat(x.start[r] - np.cumsum(size) + size, size)
-                i, w = ids[span], x.weight[span]
-                u, back = np.unique(i, return_inverse=True)  # only the buckets in this batch
-                wu = self.wh[u]
+                has = np.nonzero(ask[r] >= 0)[0]
+                text, of = np.concatenate([f.text[r], ask[r[has]]]), np.concatenate([np.arange(len(r)), has])
+                size = f.start[text + 1] - f.start[text]
+                text, of, size = text[size > 0], of[size > 0], size[size > 0]
+                first, w = np.cumsum(size) - size, f.weight[text]
+                i = f.ids[np.arange(size.sum()) + np.repeat(f.start[text] - first, size)].astype(np.int64)
                 s = d[r] @ self.wd
-                for k in range(len(LABELS)):
-                    s[:, k] += np.bincount(at, weights=wu[back, k] * w, minlength=len(r))
+                for k in range(len(LABELS) if len(i) else 0):
+                    s[:, k] += np.bincount(of, weights=np.add.reduceat(self.wh[k].take(i), first) * w, minlength=len(r))
                 g = (1 / (1 + np.exp(-np.clip(s, -30, 30))) - x.y[r]) / len(r)
                 gd = d[r].T @ g + 1e-4 * self.wd
                 self.md += gd**2
                 self.wd -= 0.3 * gd / np.sqrt(self.md)
-                gh = np.stack([np.bincount(back, weights=g[at, k] * w, minlength=len(u)) for k in range(len(LABELS))], 1) + np.where(u >= 2 ** (BITS - 1), 1e-4, 1e-6)[:, None] * wu
-                self.mh[u] += gh**2
-                self.wh[u] = wu - 0.3 * gh / np.sqrt(self.mh[u])
+                hit = np.zeros(2**BITS, bool)
+                hit[i] = True
+                u = np.nonzero(hit)[0]  # only the buckets in this batch
+                du, gt = decay[u], g[of] * w[:, None]
+                for k in range(len(LABELS)):
+                    wk, mk = self.wh[k], self.mh[k]
+                    wu = wk.take(u)
+                    gh = np.bincount(i, weights=np.repeat(gt[:, k], size), minlength=2**BITS).take(u) + du * wu
+                    mu = mk.take(u) + gh**2
+                    mk[u], wk[u] = mu, wu - 0.3 * gh / np.sqrt(mu)
             if epoch > epochs // 2:
                 self.sd, self.sh, self.times = self.sd + self.wd, self.sh + self.wh, self.times + 1
         return odd
@@ -526,9 +596,16 @@ def _classify(model: Model):  # noqa: ANN202
     return run
 
 
+def _mix(h: int) -> int:
+    """:func:`mix` of one number."""
+    h = ((h ^ (h >> 30)) * 0xBF58476D1CE4E5B9) & _M
+    h = ((h ^ (h >> 27)) * 0x94D049BB133111EB) & _M
+    return h ^ (h >> 31)
+
+
 def _cut_at(row: int, pos: int, n: int) -> tuple[int, bool]:
     """Where the cut copy of a reply of n characters ends, and whether it counts as cut at a field limit: by a hash of its place."""
-    h = int(mix(np.array([(row or 0) & (2**64 - 1)], np.uint64) + mix(np.array([pos + 1], np.uint64)))[0])
+    h = _mix(((row or 0) + _mix(pos + 1)) & _M)
     return 15 + h % (n - 23), (h >> 40) % 6 == 0
 
 
@@ -556,7 +633,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], rows: int, folds: int = 2) -> Ite
         for lo in range(0, b.num_rows, 400):
             part = b.slice(lo, 400)
             for i, r, v, e, c in zip(*(part.column(k).to_pylist() for k in range(5)), strict=True):
-                fold = int(mix(np.array([(i or 0) & (2**64 - 1)], np.uint64))[0] >> np.uint64(32)) % folds
+                fold = (_mix((i or 0) & _M) >> 32) % folds
                 own = held[fold]
                 early, why = {x["turn_pos"]: x["evidence"] for x in e or ()}, {x["turn_pos"]: x["evidence"] for x in c or ()}
                 own[0], own[2] = own[0] + 1, own[2] or (i or 0) & 0x7FFFFFFF
@@ -573,6 +650,25 @@ def _blocks(batches: Iterator[pa.RecordBatch], rows: int, folds: int = 2) -> Ite
             yield fold, *own[2:]
 
 
+def _texts(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[tuple[list[str], list[str]]]:
+    """The prose of the sound pairs of all rows (row_id, roles, values), in blocks: questions and replies."""
+    own, chars, q, a = 0, 0, [], []
+    for b in batches:
+        for lo in range(0, b.num_rows, 400):
+            part = b.slice(lo, 400)
+            for r, v in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True):
+                for _, x, y in _pairs(r, v):
+                    if x and not bare(y):
+                        q.append(prose(x)), a.append(prose(answer(y)))
+                        chars += len(x) + len(y)
+                own += 1
+                if own >= rows or chars >= BLOCK_CHARS:
+                    yield q, a
+                    own, chars, q, a = 0, 0, [], []
+    if q:
+        yield q, a
+
+
 def _numbers(keys: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     """Rows (key, v) for :func:`_summed`; a row of zeros isn't sent."""
     some = v.any(1)
@@ -601,8 +697,8 @@ def _candidates(rows: int, k: int):  # noqa: ANN202
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng, texts, times = np.random.default_rng(5), [], np.zeros(0)
-        for _, _, pairs, _ in _blocks(batches, rows, 1):
-            new = [prose(q) for q, _, _ in pairs] + [prose(answer(a)) for _, a, _ in pairs]
+        for questions, answers in _texts(batches, rows):
+            new = questions + answers
             more, n = pick(new, np.ones(len(new)), k, rng)
             texts, times = texts + more, np.concatenate([times, n])
             if len(texts) > 2 * EM_TEXTS:
@@ -618,12 +714,12 @@ def _round(languages: Languages, rows: int):  # noqa: ANN202
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         k = len(languages.prior)
         out = np.zeros((2**GRAM_BITS + 2 + k, k))
-        for _, _, pairs, _ in _blocks(batches, rows, 1):
-            sums, mass, fit, best = languages.step([prose(q) for q, _, _ in pairs] + [prose(answer(a)) for _, a, _ in pairs])
+        for questions, answers in _texts(batches, rows):
+            sums, mass, fit, best = languages.step(questions + answers)
             out[: 2**GRAM_BITS] += sums
             out[2**GRAM_BITS] += mass
             out[2**GRAM_BITS + 1, 0] += fit
-            out[2**GRAM_BITS + 2 :] += languages.met(best[: len(pairs)], best[len(pairs) :])
+            out[2**GRAM_BITS + 2 :] += languages.met(best[: len(questions)], best[len(questions) :])
         yield _numbers(np.arange(len(out)), out)
 
     return run
@@ -631,6 +727,7 @@ def _round(languages: Languages, rows: int):  # noqa: ANN202
 
 def learn_languages(conv: DataFrame, rows: int = BLOCK_ROWS, k: int = CLUSTERS) -> Languages:
     """The languages of all texts of ``conv``."""
+    conv = conv.select("row_id", "roles", "values")
     start = conv.mapInArrow(_candidates(rows, k), "text string, times double").collect()  # some a task
     texts, times = [r.text for r in start], np.array([r.times for r in start])
     languages = max((Languages([], texts, k, seed=i, times=times) for i in range(EM_STARTS)), key=lambda x: x.fit)
@@ -659,8 +756,8 @@ def _descents(languages: Languages, rows: int, least: int, batch: int):  # noqa:
                 fits[fold].learn(x, model, np.ones(x.size, bool), max(4, -(-least // x.size)), batch)
         for fold, fit in enumerate(fits):
             if fit.times:
-                m = np.concatenate([fit.mh, fit.md])
-                w = np.concatenate([fit.sh, fit.sd]) / fit.times
+                m = np.concatenate([fit.mh.T, fit.md])
+                w = np.concatenate([fit.sh.T, fit.sd]) / fit.times
                 m[m <= 1e-6] = 0
                 yield _numbers(np.arange(len(m)) + fold * len(m), np.concatenate([w * m, m], 1))
 

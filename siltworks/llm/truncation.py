@@ -41,11 +41,11 @@ NUMBER = "#"
 ENDS = ".?!。？！؟।"
 CLOSERS = "\"'”’»)]}）】」』*_`"
 INVISIBLE = "​‌‍⁠﻿­\x00"
-_TAIL = re.compile(r"[\s" + INVISIBLE + r"]+$")
+_BLANK = "".join(chr(i) for i in range(0x3001) if chr(i).isspace()) + INVISIBLE
 _DOTS = re.compile(r"(?:…|\.\.\.+)[\s" + INVISIBLE + r"\"'”’»」』*_]*$")
 _ITEM = re.compile(r"(?:[-*+•]|\d+[.)])\s+")
 _INNER = re.compile(r"[.?!][\"'”’»)\]]*\s+\S|[。？！]\S")
-_WORD = re.compile(r"([^\W_]+)[\s" + INVISIBLE + r"`\"'”’»)\]*_,;:\-–—]*$")
+_PAST = _BLANK + "`\"'”’»)]*_,;:-–—"  # what may stand after the last word
 _PAIRS = ("()", "[]", "{}")
 
 
@@ -71,7 +71,7 @@ class Form:
 
 def form(v: str | None, role: str = "") -> Form | None:
     """The form of a value; None if nothing is in it or after its last closing fence or tag."""
-    s = _TAIL.sub("", v or "")
+    s = (v or "").rstrip(_BLANK)
     if not s:
         return None
     low = s.lower()
@@ -88,7 +88,7 @@ def form(v: str | None, role: str = "") -> Form | None:
     lead = _lead(body[:1] or " ")
     around = f"{'item' if item else 'line'} %s {'closed' if _INNER.search(last[:-1]) else 'first'} {'later' if at else 'only'}"
     family = around % lead
-    dots = _DOTS.search(s)
+    dots = _DOTS.search(s) if "…" in s or "..." in s else None
     core = s.rstrip(CLOSERS + " ")
     closed = not dots and core[-1:] != "" and core[-1] in ENDS
     whole = block if block[0] in "{[" else last
@@ -97,8 +97,11 @@ def form(v: str | None, role: str = "") -> Form | None:
 
 
 def _last_word(s: str) -> str:
-    m = _WORD.search(s, max(0, len(s) - 400))
-    w = m.group(1) if m else ""
+    s = s[-400:].rstrip(_PAST)
+    at = len(s)
+    while at and s[at - 1].isalnum():
+        at -= 1
+    w = s[at:]
     return "" if not w or _wide(w[-1]) else NUMBER if any(c.isdigit() for c in w) else w.lower()
 
 

@@ -291,6 +291,34 @@ def test_classifier_on_held_out_defects():
         assert hit >= 0.95 * y[:, k].sum() and hit >= 0.95 * s[:, k].sum(), name
 
 
+def test_each_text_of_a_block_is_read_once(monkeypatch):
+    rng = random.Random(9)
+    words = {"en": "the parser reads each record and writes it to the table while a worker waits for the queue".split(), "de": "der Dienst liest jeden Eintrag und schreibt ihn in die Tabelle während ein Prozess auf die Schlange wartet".split()}
+    make = lambda k: " ".join(rng.choice(words[k]) for _ in range(20)) + "."
+    pairs = [(make(k), make(k), None) for k in ("en", "de") for _ in range(150)]
+    languages = replies.Languages([q for q, _, _ in pairs], [a for _, a, _ in pairs], k=4)
+    read = {"tokenize": [], "trigrams": []}
+    for name, texts in read.items():
+        monkeypatch.setattr(replies, name, lambda x, own=texts, f=getattr(replies, name): own.extend(x) or f(x))
+    replies.Examples(pairs, replies.cuts(pairs), languages)
+    answers = {a for _, a, _ in pairs}
+    for texts in read.values():
+        assert answers <= set(texts) and sum(t in answers for t in texts) == len(answers)
+
+
+def test_texts_as_their_patterns_say():
+    texts = ["", "a_b ß-Σ9²", "ㅤ", "``` \n", "```py", "````", "```ㅤ```", "<THINK></think>\u200b", "<think>x", "\u200b\x00 ", "日本、語 İI", "\ud800x"]
+    assert replies.letters(texts) == [replies._NOT_WORD.sub("", t.lower()) for t in texts]
+    assert [replies.bare(t) for t in texts] == [not replies._MARKS.sub("", t) for t in texts]
+    n = [0, 1, 2**63, 2**64 - 1, 12345]
+    assert [replies._mix(i) for i in n] == replies.mix(np.array(n, np.uint64)).tolist()
+
+
+def test_last_words_are_read_from_the_end():
+    want = {"the que": "que", "the queue, (as_": "as", "x_Ab9 -–": "#", "end…": "end", "wait . . ...\u200b": "", "中文字": "", "b" * 450 + '"\n': "b" * 399, "\x1c\u3000": None, "``` x": "x"}
+    assert {v: f and f.word for v, f in ((v, truncation.form(v)) for v in want)} == want
+
+
 def test_languages_are_learnt():
     rng = random.Random(8)
     words = {

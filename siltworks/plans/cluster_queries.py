@@ -10,7 +10,7 @@ from siltworks.operators import clustering as C
 from siltworks.operators import slicing as SL
 from siltworks.plans.base import q6, r6, turns
 from siltworks.plans.registry import query
-from siltworks.session import spread, table, written
+from siltworks.session import table, written
 
 
 
@@ -45,9 +45,7 @@ def semantic_clusters(spark: SparkSession, d: str) -> DataFrame:
     """Windows, hashed embeddings, sign-bit hashes, neighbours, components, representatives: the whole chain."""
     w = SL.windows(turns(spark, d), longer_than=6, size=6, stride=4)
     w = w.withColumn("window_id", F.concat_ws("_w", F.col("row_id").cast("string"), F.col("window_index").cast("string"))).withColumn("snr", T.snr(F.col("body"))).withColumn("text", T.transcript(F.col("body")))
-    w = written(w.select("window_id", "row_id", "window_index", "snr", "text"), "windows")
-    v = written(C.embeddings(spread(w), "window_id", "text"), "vectors")
-    h = C.semhash(v, "window_id")
-    m = C.clusters(w, C.neighbours(v, h, "window_id"), "window_id").join(w.drop("text"), "window_id")
+    w = written(C.hashed(w.select("window_id", "row_id", "window_index", "snr", "text"), "text"), "windows")
+    m = C.clusters(w, C.neighbours(w, w, "window_id"), "window_id").join(w.drop("embedding", "hash"), "window_id")
     r = C.representatives(m, "cluster", ["snr", "row_id", "window_index"])
     return r.select("window_id", "cluster", r6(F.col("snr")).alias("snr"), "representative")

@@ -82,7 +82,11 @@ def test_neighbours_shuffle_no_pair_of_a_bucket(spark):
     v = written(spark.createDataFrame(near_vectors(400, 384, 0.1), "k string, embedding array<float>"), "near")
     h = written(CL.semhash(v, "k"), "near_hashes")
     moved = lambda: sum(e.totalShuffleWrite() for e in (x.apply(i) for x in [spark.sparkContext._jsc.sc().statusStore().executorList(False)] for i in range(x.size())))
-    before = moved()
-    assert CL.neighbours(v, h, "k", cosine=0.0).count() == 400 * 32
+    before, was = moved(), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)  # as on tables too large for it
+    try:
+        assert CL.neighbours(v, h, "k", cosine=0.0).count() == 400 * 32
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
     spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
     assert 1e5 < moved() - before < 20e6
